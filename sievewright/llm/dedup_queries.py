@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sievewright.llm import minhash
+from sievewright.llm import minhash, substrings
 from sievewright.sources.tables import table
 
 ORACLE: dict[str, str] = {}
@@ -15,4 +15,9 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_minhash": op1_minhash}
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents covered by a 50-byte string of an earlier document."""
+    return substrings.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_minhash": op1_minhash, "op3_substrings": op3_substrings}
