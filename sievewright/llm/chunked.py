@@ -86,3 +86,22 @@ def texts_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
     data, offsets = tb.buffers(table.column("text"))
     return table.column("doc_id").to_numpy(), data, offsets
+
+
+def planes(values: np.ndarray) -> bytes:
+    """Unsigned integers as byte planes without the upper ones of zeros."""
+    v = values.astype(np.uint64)
+    n = max(1, (int(v.max()).bit_length() + 7) // 8) if len(v) else 1
+    return bytes([n]) + np.ascontiguousarray(v.view(np.uint8).reshape(-1, 8).T[:n]).tobytes()
+
+
+def unplanes(data: bytes) -> np.ndarray:
+    n = data[0]
+    flat = np.frombuffer(data, np.uint8, offset=1).reshape(n, -1)
+    wide = np.zeros((flat.shape[1], 8), np.uint8)
+    wide[:, :n] = flat.T
+    return wide.view(np.uint64).ravel()
+
+
+def all_planes(parts: list[tuple[int, bytes]]) -> np.ndarray:
+    return np.concatenate([unplanes(a) for _, a in parts]) if parts else np.zeros(0, np.uint64)

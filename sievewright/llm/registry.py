@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sievewright.llm import classify_queries, dedup_queries, quality_queries
+from sievewright.llm import classify_queries, dedup_queries, lm_queries, quality_queries
 
-MODULES = [classify_queries, dedup_queries, quality_queries]
+MODULES = [classify_queries, dedup_queries, lm_queries, quality_queries]
 
 
 def queries() -> dict:
