@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -13,7 +14,7 @@ def rows(frame):
 
 
 def _plain(x):
-    if x is None or x != x:
+    if x is None or x is pd.NA or x != x:
         return ""
     if isinstance(x, float):
         return f"{x:.9g}"
