@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sievewright.llm import classify_queries, dedup_queries, lm_queries, quality_queries, warc_queries
+from sievewright.llm import classify_queries, corpus_queries, dedup_queries, lm_queries, quality_queries, warc_queries
 
-MODULES = [classify_queries, dedup_queries, lm_queries, quality_queries, warc_queries]
+MODULES = [classify_queries, corpus_queries, dedup_queries, lm_queries, quality_queries, warc_queries]
 
 
 def queries() -> dict:
