@@ -14,16 +14,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sievewright.llm import textbytes as tb
 from sievewright.llm.common import parts_for
 
 SENT = "bucket int, chunk int, kind int, keys binary, extra binary"
 ANSWER = "chunk int, bucket int, kind int, answer binary"
 
 
-def in_chunks(docs: DataFrame, bytes_each: int = 3 << 20) -> DataFrame:
-    """(chunk, doc_id, text); the number of chunks follows the input's size."""
+def in_chunks(docs: DataFrame, bytes_each: int = 3 << 20, carry: list[str] | None = None) -> DataFrame:
+    """(chunk, doc_id, text) and the columns of ``carry``, as _carry_0 and so on; the number of chunks follows the input's size."""
     n = parts_for(docs, bytes_each, 4)
-    return docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int").alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rest = [F.col(f"`{c}`").alias(f"_carry_{k}") for k, c in enumerate(carry or [])]
+    return docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int").alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"), "text", *rest)
 
 
 def bucket_count(docs: DataFrame, bytes_each: int = 1 << 20) -> int:
@@ -78,12 +80,14 @@ def gathered(table: pa.Table, kind: int) -> list[tuple[int, bytes]]:
     return sorted((b, a) for k, b, a in rows if k == kind)
 
 
-def texts_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """doc_ids, bytes and offsets of a chunk in a fixed order."""
-    from sievewright.llm import textbytes as tb
+def in_order(table: pa.Table) -> pa.Table:
+    """A chunk in a fixed order."""
+    return table.sort_by([("doc_id", "ascending"), ("text", "ascending")]) if table.num_rows else table
+
 
-    if table.num_rows:
-        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+def texts_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """doc_ids, bytes and offsets of a chunk in that order."""
+    table = in_order(table)
     data, offsets = tb.buffers(table.column("text"))
     return table.column("doc_id").to_numpy(), data, offsets
 

@@ -223,9 +223,11 @@ def _refine(length: int):
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
 
-def repeated_passages(docs: DataFrame, length: int = 50, with_text: bool = False) -> DataFrame:
+def repeated_passages(docs: DataFrame, length: int = 50, with_text: bool = False, carry: list[str] | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept, the text left over) for every row of ``docs`` (doc_id, text).
 
+    The columns of ``carry`` go along unchanged.
+
     A byte goes if a string of ``length`` bytes over it also starts in a document with a
     smaller doc_id; repeats within one document stay. Null and empty texts have no
     bytes; rows of one doc_id never remove each other's bytes; other columns are ignored; an empty table gives an
@@ -233,7 +235,8 @@ def repeated_passages(docs: DataFrame, length: int = 50, with_text: bool = False
     """
     if not GRAM < length <= GRAM + 40:
         raise ValueError(f"length must be over {GRAM} and at most {GRAM + 40}")
-    texts, buckets = chunked.in_chunks(docs), chunked.bucket_count(docs)
+    carry = carry or []
+    texts, buckets = chunked.in_chunks(docs, carry=carry), chunked.bucket_count(docs)
 
     def first(key, table):
         return Chunk(table, length, buckets).send_keys(key[0].as_py())
@@ -259,9 +262,12 @@ def repeated_passages(docs: DataFrame, length: int = 50, with_text: bool = False
                 kept.append(left.decode("utf-8", "ignore"))
         out = [pa.array(c.ids, pa.int64()), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string())]
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-        return pa.table(out + [pa.array(kept, pa.string())] * with_text, names=names + ["kept"] * with_text)
+        rest = chunked.in_order(table)
+        out += [pa.array(kept, pa.string())] * with_text + [rest.column(f"_carry_{k}") for k in range(len(carry))]
+        return pa.table(out, names=names + ["kept"] * with_text + carry)
 
+    schema = RESULT + ", kept string" * with_text + "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
     by_chunk = texts.groupBy("chunk")
     shared = by_chunk.applyInArrow(first, chunked.SENT).groupBy("bucket").applyInArrow(_share, chunked.ANSWER)
     masks = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(second, chunked.SENT).groupBy("bucket").applyInArrow(_refine(length), chunked.ANSWER)
-    return by_chunk.cogroup(shared.unionAll(masks).groupBy("chunk")).applyInArrow(third, RESULT + (", kept string" if with_text else ""))
+    return by_chunk.cogroup(shared.unionAll(masks).groupBy("chunk")).applyInArrow(third, schema)
