@@ -43,10 +43,7 @@ def identity_text(c: Column) -> Column:
     return F.upper(F.regexp_replace(stripped(c), r"(?U)\s+", " "))
 
 
-@F.pandas_udf("string")
-def alias_text(values: pd.Series) -> pd.Series:
-    """NFKC, case-folded, word characters only. Spark has no NFKC; inputs are small dimensions."""
-
+def _fold_aliases(values: pd.Series) -> pd.Series:
     def fold(v):
         if v is None:
             return None
@@ -55,6 +52,11 @@ def alias_text(values: pd.Series) -> pd.Series:
     return values.map(fold)
 
 
+def alias_text(c: Column) -> Column:
+    """NFKC, case-folded, word characters only. Spark has no NFKC; inputs are small dimensions."""
+    return F.pandas_udf(_fold_aliases, "string")(c)
+
+
 def first_present(*cs: Column) -> Column:
     """The first that is neither null nor empty."""
     return F.coalesce(*[blank_to_null(c) for c in cs])

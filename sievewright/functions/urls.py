@@ -116,12 +116,15 @@ def https_of(url: Column) -> Column:
     return F.when(url.startswith("//"), F.concat(F.lit("https:"), url)).otherwise(url)
 
 
-@F.pandas_udf("string")
-def joined(base: pd.Series, link: pd.Series) -> pd.Series:
-    """RFC 3986 resolution of a link, which has no built-in counterpart."""
+def _join_links(base: pd.Series, link: pd.Series) -> pd.Series:
     return pd.Series([None if u is None else urljoin(b or "", u) for b, u in zip(base, link)], dtype=object)
 
 
+def joined(base: Column, link: Column) -> Column:
+    """RFC 3986 resolution of a link, which has no built-in counterpart."""
+    return F.pandas_udf(_join_links, "string")(base, link)
+
+
 def category_id_of(url: Column) -> Column:
     """``cate_id`` of the query, or the number in ``/catalog/<n>``, or ``catalogId``."""
     number = F.nullif(F.regexp_extract(url, r"/catalog/(\d+)", 1), F.lit(""))
