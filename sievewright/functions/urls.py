@@ -93,22 +93,33 @@ def set_query_parameter(url: Column, name: str, value: Column) -> Column:
     return F.concat(base, F.lit("?"), F.array_join(F.coalesce(put, F.concat(others, F.array(new))), "&"), F.when(frag.isNotNull(), F.concat(F.lit("#"), frag)).otherwise(""))
 
 
+def _pairs(url: Column) -> Column:
+    return F.filter(F.split(F.coalesce(part(url, "QUERY"), F.lit("")), "&"), lambda p: p != "")
+
+
+def _key(pair: Column) -> Column:
+    return F.substring_index(pair, "=", 1)
+
+
+def _with_pairs(url: Column, pairs: Column) -> Column:
+    """The URL without fragment and with other query pairs."""
+    base = F.regexp_replace(F.substring_index(url, "#", 1), r"\?.*$", "")
+    return F.when(F.size(pairs) > 0, F.concat(base, F.lit("?"), F.array_join(pairs, "&"))).otherwise(base)
+
+
 def bind_category(url: Column, category_id: Column) -> Column:
-    """Put the category's id into whichever known category key the URL has."""
-    out = url
-    for k in CATEGORY_KEYS:
-        out = F.when(has_parameter(url, k), set_query_parameter(url, k, category_id)).otherwise(out)
-    return out
+    """Put the category's id into whichever known category keys the URL has."""
+    bound = F.transform(_pairs(url), lambda p: F.when(_key(p).isin(*CATEGORY_KEYS), F.concat(_key(p), F.lit("="), category_id)).otherwise(p))
+    return _with_pairs(url, bound)
 
 
 def bind_template(template: Column, url: Column) -> Column:
     """Copy the category binding of ``url`` into a template of the same host and path; other templates stay."""
     alike = (host_of(template) == host_of(url)) & (part(template, "PATH") == part(url, "PATH"))
-    out = template
-    for k in CATEGORY_KEYS:
-        value = F.try_parse_url(url, F.lit("QUERY"), F.lit(k))
-        out = F.when(value.isNotNull(), set_query_parameter(out, k, value)).otherwise(out)
-    return F.when(alike, out).otherwise(template)
+    binding = F.filter(_pairs(url), lambda p: _key(p).isin(*CATEGORY_KEYS))
+    taken = F.transform(binding, _key)
+    rest = F.filter(_pairs(template), lambda p: ~F.array_contains(taken, _key(p)))
+    return F.when(alike, _with_pairs(template, F.concat(rest, binding))).otherwise(template)
 
 
 def https_of(url: Column) -> Column:
