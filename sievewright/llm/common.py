@@ -8,14 +8,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+UNKNOWN = 1 << 50
+
+
 def input_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate of the input's size, from file sizes; no job runs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Catalyst's estimate of the input's size, from file sizes; where it has none, the bytes of the texts are counted."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= UNKNOWN:
+        size = df.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return size
 
 
 def parts_for(df: DataFrame, bytes_each: int = 8 << 20, at_least: int = 8) -> int:
     """Partitions (or groups) so that each holds about ``bytes_each`` of input at every size."""
-    return max(at_least, math.ceil(min(input_bytes(df), 1 << 50) / bytes_each))
+    return max(at_least, math.ceil(input_bytes(df) / bytes_each))
 
 
 def remainder(doc_id: Column, mod: int) -> Column:
