@@ -132,8 +132,11 @@ def _join_links(base: pd.Series, link: pd.Series) -> pd.Series:
 
 
 def joined(base: Column, link: Column) -> Column:
-    """RFC 3986 resolution of a link, which has no built-in counterpart."""
-    return F.pandas_udf(_join_links, "string")(base, link)
+    """RFC 3986 resolution of a link, which has no built-in counterpart.
+
+    Marked as not deterministic so that Catalyst evaluates it once, in a projection of its own.
+    """
+    return F.pandas_udf(_join_links, "string").asNondeterministic()(base, link)
 
 
 def category_id_of(url: Column) -> Column:
