@@ -10,10 +10,11 @@ as those of a shared passage, are skipped and counted on the signatures only (sk
 merging). Collisions at or above the threshold are candidates, and every link is
 confirmed on the full sets.
 
-A list of m near copies has about m*m/2 links, so they are not listed: within a list a
-maximum spanning forest over the collision counts is confirmed first, and a second pass
-takes all remaining candidates between components that are still apart. The components
-come out as if every pair had been confirmed. Long lists are dealt in blocks.
+A list of m near copies may have m*m/2 candidates, so they are not listed: a list gives a
+spanning forest of its candidates, and the components of all forests are clusters that
+no link leaves. Within a cluster, the full sets are compared exactly, all with all, as
+products of incidence matrices, and again only a spanning forest of the links comes out.
+Long lists and clusters are dealt in blocks, whose pairs are the tasks' groups.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from sievewright.llm.staging import staged
 COORDINATES = 64
 #: A pair at a similarity of 0.85 agrees in 54.4 of 64 coordinates, with a standard deviation of 2.9.
 THRESHOLD = 40
-BLOCK = 384
+BLOCK = 256
 _rng = np.random.default_rng(64)
 _MULT = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _rng.integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -135,47 +136,40 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _collide(threshold: int, limit: float, forest: bool):
-    """Candidate pairs of every list: a maximum spanning forest, or all pairs of different components."""
-
-    def pairs_of(sig, size, comp):
-        m = len(size)
-        if forest:
-            best, parent, left = np.full(m, -1), np.zeros(m, np.int64), np.ones(m, bool)
-            cur = 0
-            for _ in range(m - 1):
-                left[cur] = False
-                same = (sig == sig[cur]).sum(1)
-                same[np.minimum(size, size[cur]) < limit * np.maximum(size, size[cur])] = 0
-                better = left & (same > best)
-                best[better], parent[better] = same[better], cur
-                cur = int(np.argmax(np.where(left, best, -2)))
-                if best[cur] >= threshold:
-                    yield parent[cur], cur
-            return
-        for i in range(m - 1):
-            near = (sig[i + 1 :] == sig[i]).sum(1) >= threshold
-            near &= (comp[i + 1 :] != comp[i]) & (np.minimum(size[i + 1 :], size[i]) >= limit * np.maximum(size[i + 1 :], size[i]))
-            for j in np.flatnonzero(near):
-                yield i, i + 1 + j
+def _collide(threshold: int, limit: float):
+    """A spanning forest of the candidate pairs of every list."""
+
+    def forest(sig: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, int]]:
+        left = np.arange(1, len(size))
+        frontier, root = [0], 0
+        while True:
+            if not frontier:
+                if len(left) < 2:
+                    return
+                root, left = int(left[0]), left[1:]
+                frontier = [root]
+            x = frontier.pop()
+            near = (sig[left] == sig[x]).sum(1) >= threshold
+            near &= np.minimum(size[left], size[x]) >= limit * np.maximum(size[left], size[x])
+            for y in left[near].tolist():
+                yield x, y
+                frontier.append(y)
+            left = left[~near]
+            if not len(left):
+                return
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in whole_groups(batches, ["token", "part"]):
-            token, part = batch.column("token").to_numpy(), batch.column("part").to_numpy()
-            node, size, comp = (batch.column(c).to_numpy() for c in ("node", "n_shingles", "component"))
-            flat = batch.column("signature").flatten().to_numpy()
-            sig = flat.reshape(-1, COORDINATES)
+            token, part, node, size = (batch.column(c).to_numpy() for c in ("token", "part", "node", "n_shingles"))
+            sig = batch.column("signature").flatten().to_numpy().reshape(-1, COORDINATES)
             at = np.flatnonzero(np.append(True, (token[1:] != token[:-1]) | (part[1:] != part[:-1])))
             end = np.append(at[1:], len(token))
-            out_a, out_b = [], []
             two = at[end - at == 2]
             near = (sig[two] == sig[two + 1]).sum(1) >= threshold
             near &= np.minimum(size[two], size[two + 1]) >= limit * np.maximum(size[two], size[two + 1])
-            near &= comp[two] != comp[two + 1]
-            out_a.append(node[two[near]])
-            out_b.append(node[two[near] + 1])
+            out_a, out_b = [node[two[near]]], [node[two[near] + 1]]
             for s, e in zip(at[end - at > 2], end[end - at > 2]):
-                got = list(pairs_of(sig[s:e], size[s:e], comp[s:e]))
+                got = list(forest(sig[s:e], size[s:e]))
                 if got:
                     i, j = np.array(got).T
                     out_a.append(node[s:e][i])
@@ -187,35 +181,68 @@ def _collide(threshold: int, limit: float, forest: bool):
     return run
 
 
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Exact sizes of the intersections of all pairs of sets, as products of incidence matrices a few thousand elements wide."""
+    flat = np.concatenate(sets)
+    _, element, often = np.unique(flat, return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    number = np.cumsum(often > 1) - 1
+    keep = (often > 1)[element]
+    element, owner = number[element[keep]], owner[keep]
+    order = np.argsort(element, kind="stable")
+    element, owner = element[order], owner[order]
+    out = np.zeros((len(sets), len(sets)), np.float64)
+    step = 4096
+    for low in range(0, int(number[-1]) + 1 if len(number) else 0, step):
+        s, e = np.searchsorted(element, (low, low + step))
+        block = np.zeros((len(sets), step), np.float32)
+        block[owner[s:e], element[s:e] - low] = 1
+        out += block @ block.T
+    return np.rint(out).astype(np.int64)
+
+
 def _confirm(percent: int):
+    """A spanning forest of the links of every group of full sets."""
+
+    def links(node: np.ndarray, sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+        size = np.array([len(s) for s in sets])
+        both = shared_counts(sets)
+        linked = 100 * both >= percent * (size[:, None] + size[None, :] - both)
+        left, frontier = np.arange(1, len(size)), [0]
+        while len(left):
+            if not frontier:
+                frontier, left = [int(left[0])], left[1:]
+            x = frontier.pop()
+            near = linked[x, left]
+            for y in left[near].tolist():
+                yield node[x], node[y]
+                frontier.append(y)
+            left = left[~near]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            (da, oa), (db, ob) = tb.buffers(batch.column("set_a")), tb.buffers(batch.column("set_b"))
-            ok = np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows):
-                x, y = da[oa[i] : oa[i + 1]].view(np.uint64), db[ob[i] : ob[i + 1]].view(np.uint64)
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                ok[i] = 100 * both >= percent * (len(x) + len(y) - both)
-            yield batch.select(["a", "b"]).filter(pa.array(ok))
+        for batch in whole_groups(batches, ["cluster", "part"]):
+            cluster, part, node = (batch.column(c).to_numpy() for c in ("cluster", "part", "node"))
+            data, offsets = tb.buffers(batch.column("hashes"))
+            at = np.flatnonzero(np.append(True, (cluster[1:] != cluster[:-1]) | (part[1:] != part[:-1])))
+            out = []
+            for s, e in zip(at, np.append(at[1:], len(node))):
+                sets = [np.frombuffer(data[offsets[k] : offsets[k + 1]].tobytes(), np.uint64) for k in range(s, e)]
+                out += links(node[s:e], sets)
+            pairs = np.array(out, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
 
     return run
 
 
-def _lists(prefixes: DataFrame, sets: DataFrame, block: int) -> DataFrame:
-    """Posting lists with signatures; a list of more than ``block`` rows becomes the pairs of its blocks."""
-    sizes = prefixes.groupBy("token").agg(F.count("*").alias("m"), F.min("component").alias("c0"), F.max("component").alias("c1"))
-    sizes = sizes.where("m > 1 and c0 <> c1").select("token", F.ceil(F.col("m") / block).cast("int").alias("blocks"))
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+def _dealt(members: DataFrame, group: str, block: int) -> DataFrame:
+    """``members`` (group, node) with ``part``: one for each pair of blocks of the group that the node is in; groups of one drop out."""
+    sizes = members.groupBy(group).agg(F.count("*").alias("m")).where("m > 1").select(group, F.ceil(F.col("m") / block).cast("int").alias("blocks"))
     parts = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda other: F.least(F.col("mine"), other).cast("long") * F.col("blocks") + F.greatest(F.col("mine"), other),
     )
-    dealt = prefixes.join(sizes, "token").withColumn("mine", mine).select("token", "node", "component", F.explode(parts).alias("part"))
-    return (
-        dealt.join(sets.select(F.col("doc_id").alias("node"), "n_shingles", "signature"), "node")
-        .repartition("token", "part").sortWithinPartitions("token", "part")
-        .select("token", "part", "node", "component", "n_shingles", "signature")
-    )
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    return members.join(sizes, group).withColumn("mine", mine).select(group, "node", F.explode(parts).alias("part"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, threshold: int = THRESHOLD, block: int = BLOCK) -> DataFrame:
@@ -240,23 +267,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, threshol
         .where(F.size("pairs") >= threshold).select("node", F.explode(prefix).alias("p")).select("node", "p.token"),
         "prefixes",
     )
-    members = prefixes.select(F.col("node").alias("doc_id")).distinct()
-    full = staged(docs.join(members, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_full_sets(width), "doc_id bigint, hashes binary"), "fullsets")
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        a = full.select(F.col("doc_id").alias("a"), F.col("hashes").alias("set_a"))
-        b = full.select(F.col("doc_id").alias("b"), F.col("hashes").alias("set_b"))
-        return pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b").mapInArrow(_confirm(percent), "a bigint, b bigint")
-
-    limit = percent / 100
-    first = _lists(prefixes.withColumn("component", F.col("node")), standing, block).mapInArrow(_collide(threshold, limit, True), "a bigint, b bigint")
-    tried = staged(first.distinct(), "forest")
-    links = staged(confirmed(tried), "confirmed")
+    lists = (
+        _dealt(prefixes, "token", block).join(standing.select(F.col("doc_id").alias("node"), "n_shingles", "signature"), "node")
+        .repartition("token", "part").sortWithinPartitions("token", "part").select("token", "part", "node", "n_shingles", "signature")
+    )
+    clusters = components(lists.mapInArrow(_collide(threshold, percent / 100), "a bigint, b bigint").distinct())
+    heads = clusters.select(F.col("component").alias("node"), F.col("component").alias("cluster")).distinct()
+    clusters = staged(clusters.select("node", F.col("component").alias("cluster")).unionAll(heads), "clusters")
+    inside = docs.join(clusters.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    full = inside.mapInArrow(_full_sets(width), "doc_id bigint, hashes binary").withColumnRenamed("doc_id", "node")
+    groups = _dealt(clusters, "cluster", block).join(full, "node").repartition("cluster", "part").sortWithinPartitions("cluster", "part")
+    links = groups.select("cluster", "part", "node", "hashes").mapInArrow(_confirm(percent), "a bigint, b bigint")
     roots = components(links)
-    labelled = prefixes.join(roots, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rest = _lists(labelled, standing, block).mapInArrow(_collide(threshold, limit, False), "a bigint, b bigint").distinct()
-    more = staged(confirmed(rest.join(tried, ["a", "b"], "left_anti")), "more")
-    roots = components(links.unionAll(more))
     ids = classes.join(roots, "node", "left").select("key1", "key2", F.coalesce("component", "node").alias("component_id"))
     return (
         sets.join(ids, ["key1", "key2"], "left")
