@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,20 +65,30 @@ def cut(keys: np.ndarray, bits: int, buckets: int) -> list[tuple[int, int, int]]
     return [(int(b[s]), int(s), int(e)) for s, e in zip(at, np.append(at[1:], len(b)))]
 
 
+def squeezed(data: bytes) -> bytes:
+    """Zstandard, with the length in front: byte planes have little entropy, which the shuffle's own codec does not use."""
+    return len(data).to_bytes(4, "little") + pa.compress(data, "zstd", asbytes=True) if data else b""
+
+
+def opened(column: pa.ChunkedArray) -> list[bytes]:
+    return [pa.decompress(x[4:], int.from_bytes(x[:4], "little"), "zstd", asbytes=True) if x else b"" for x in column.to_pylist()]
+
+
 def sent(rows: list[tuple[int, int, int, bytes, bytes]]) -> pa.Table:
-    cols = list(zip(*rows)) if rows else [[]] * 5
+    cols = list(zip(*[(*r[:3], squeezed(r[3]), squeezed(r[4])) for r in rows])) if rows else [[]] * 5
     return pa.table([pa.array(c, k) for c, k in zip(cols, (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "chunk", "kind", "keys", "extra"])
 
 
 def answers(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
-    cols = list(zip(*rows)) if rows else [[]] * 4
+    """Rows for chunks, squeezed, and rows for none (-1) as they are."""
+    cols = list(zip(*[(*r[:3], squeezed(r[3]) if r[0] >= 0 else r[3]) for r in rows])) if rows else [[]] * 4
     return pa.table([pa.array(c, k) for c, k in zip(cols, (pa.int32(), pa.int32(), pa.int32(), pa.binary()))], names=["chunk", "bucket", "kind", "answer"])
 
 
 def gathered(table: pa.Table, kind: int) -> list[tuple[int, bytes]]:
     """(bucket, answer) of one kind in order of bucket, from the answers to a chunk."""
-    rows = zip(table.column("kind").to_pylist(), table.column("bucket").to_pylist(), table.column("answer").to_pylist())
-    return sorted((b, a) for k, b, a in rows if k == kind)
+    mine = table.filter(pa.compute.equal(table.column("kind"), kind))
+    return sorted(zip(mine.column("bucket").to_pylist(), opened(mine.column("answer"))))
 
 
 def in_order(table: pa.Table) -> pa.Table:

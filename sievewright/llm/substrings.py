@@ -150,7 +150,7 @@ class Chunk:
 
 def _share(table: pa.Table) -> pa.Table:
     """Which keys of a bucket more than one document holds (1), or very many (2)."""
-    chunks, keys, docs = table.column("chunk").to_pylist(), [chunked.unpack(k) for k in table.column("keys").to_pylist()], table.column("extra").to_pylist()
+    chunks, keys, docs = table.column("chunk").to_pylist(), [chunked.unpack(k) for k in chunked.opened(table.column("keys"))], chunked.opened(table.column("extra"))
     bucket = table.column("bucket")[0].as_py()
     _, place = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(place, np.frombuffer(b"".join(docs), np.uint8))
@@ -196,7 +196,7 @@ def _refine(length: int):
     def run(table: pa.Table) -> pa.Table:
         bucket, rows = table.column("bucket")[0].as_py(), []
         kinds, chunks = table.column("kind").to_numpy(), table.column("chunk").to_numpy()
-        keys, extra = table.column("keys").to_pylist(), table.column("extra").to_pylist()
+        keys, extra = chunked.opened(table.column("keys")), chunked.opened(table.column("extra"))
         mine = np.flatnonzero(kinds == CONTEXT)
         if len(mine):
             docs = [np.frombuffer(keys[i], np.int64) for i in mine]

@@ -14,7 +14,7 @@ which adds up to one. Scoring takes the longest suffix that is a state.
 No part of the tree is broadcast or collected: each level is one exchange of counts
 between chunks of texts and ranges of hashed keys. A frequent context is dealt
 into shards of its next words, so it never meets in one task; context counts of one
-word are exact, contexts and their next words are told apart by 36 and 28 bits of hash.
+word are exact, contexts and their next words are told apart by 36 and 20 bits of hash.
 """
 
 from __future__ import annotations
@@ -23,13 +23,14 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievewright.llm import chunked
 from sievewright.llm import textbytes as tb
 
-DIVERGENCE, LEAST_PAIR, LEAST_CONTEXT, PULL, SHARD = 14.0, 3, 6, 1.0, 4096
+DIVERGENCE, LEAST_PAIR, LEAST_CONTEXT, PULL, SHARD, WORD_BITS = 16.0, 5, 8, 1.0, 4096, 20
 ONE, LEVEL, TOTALS = 0, 1, 10  # kinds of answers: counts of words, of next words (1 and up), totals (10 to 12)
 END = np.uint64(0x5851F42D4C957F2D)
 
@@ -56,9 +57,13 @@ class Scored:
         n = np.bincount(self.token, self.training, len(self.words)).astype(np.int64)
         return chunked.sent([(b, chunk, ONE, chunked.pack(self.words[s:e]), chunked.planes(n[s:e])) for b, s, e in chunked.cut(self.words, 64, buckets)])
 
+    @staticmethod
+    def _total(heard: pa.Table, k: int) -> bytes:
+        return heard.filter(pa.compute.equal(heard.column("kind"), TOTALS + k)).column("answer")[0].as_py()
+
     def hear_words(self, heard: pa.Table) -> None:
         got = chunked.all_planes(chunked.gathered(heard, ONE)).astype(np.int64)
-        self.n, self.v, self.once = (int(chunked.gathered(heard, TOTALS + k)[0][1]) for k in range(3))
+        self.n, self.v, self.once = (int(self._total(heard, k)) for k in range(3))
         self.count = got[self.token]
         unseen = max(1, self.once) / (self.n + 1) if self.n else 1.0
         self.p = np.where(self.count > 0, (1 - unseen) * self.count / max(1, self.n), unseen)
@@ -78,9 +83,12 @@ class Scored:
         marks = np.repeat(contexts, many), np.concatenate([np.arange(m) for m in many]) if len(many) else np.zeros(0, int)
         heads = self._heads(*marks)
         word = self.words[self.token[where]]
-        keys = (self._heads(before, (word % shards.astype(np.uint64)).astype(int)) << np.uint64(28)) | np.maximum(word >> np.uint64(36), np.uint64(1))
-        known = self.count[where] >= LEAST_PAIR
-        return where, which, keys, known, n, heads << np.uint64(28), np.repeat(np.arange(len(contexts)), many)
+        keys = (self._heads(before, (word % shards.astype(np.uint64)).astype(int)) << np.uint64(WORD_BITS)) | np.maximum(word >> np.uint64(64 - WORD_BITS), np.uint64(1))
+        # The pair cannot be more frequent than its parts: what could not pass the test is not sent.
+        most = np.minimum(n, self.count[where])
+        expected = np.maximum(n * self.p[where], 1e-9)
+        known = (most >= LEAST_PAIR) & (most * (np.log(np.maximum(most, 1)) - np.log(expected)) >= DIVERGENCE)
+        return where, which, keys, known, n, heads << np.uint64(WORD_BITS), np.repeat(np.arange(len(contexts)), many)
 
     @staticmethod
     def _heads(contexts: np.ndarray, shard: np.ndarray) -> np.ndarray:
@@ -88,13 +96,13 @@ class Scored:
 
     def send_level(self, chunk: int, buckets: int, depth: int) -> pa.Table:
         where, _, keys, known, n, marks, _ = self._level(depth)
-        expected = np.rint(8 * np.log2(np.maximum(n * self.p[where], 1e-9))).astype(np.int64) + 400
+        expected = np.rint(4 * np.log2(np.maximum(n * self.p[where], 1e-9))).astype(np.int64) + 124
         k = np.concatenate((keys[known], marks))
         every, first, place = np.unique(k, return_index=True, return_inverse=True)
         counts = np.bincount(place, np.concatenate((self.training[where[known]], np.zeros(len(marks)))), len(every)).astype(np.int64)
         e = np.concatenate((expected[known], np.zeros(len(marks), np.int64)))[first]
         out = []
-        for b, s, t in chunked.cut(every, 64, buckets):
+        for b, s, t in chunked.cut(every, 36 + WORD_BITS, buckets):
             c = chunked.planes(counts[s:t])
             out.append((b, chunk, LEVEL + depth - 1, chunked.pack(every[s:t]), len(c).to_bytes(4, "little") + c + chunked.planes(e[s:t])))
         return chunked.sent(out)
@@ -109,7 +117,7 @@ class Scored:
         kept_sum = np.bincount(mark_of, sums, (which.max() + 1) if len(which) else 0)[which] if len(which) else np.zeros(0)
         below = self.p[where]
         p = self.p.copy()
-        p[where] = np.where(kept, count / (n + PULL), 0.0) + (1 - kept_sum / (n + PULL)) * below
+        p[where] = np.where(kept, count / (n + PULL), 0.0) + (1 - np.minimum(kept_sum, n) / (n + PULL)) * below
         self.p = p
         # Contexts of one word more end at the same place.
         context, context_count = np.zeros_like(self.context), np.zeros_like(self.context_count)
@@ -129,7 +137,7 @@ class Scored:
 
 
 def _columns(table: pa.Table):
-    return table.column("bucket")[0].as_py(), table.column("chunk").to_pylist(), [chunked.unpack(k) for k in table.column("keys").to_pylist()], table.column("extra").to_pylist()
+    return table.column("bucket")[0].as_py(), table.column("chunk").to_pylist(), [chunked.unpack(k) for k in chunked.opened(table.column("keys"))], chunked.opened(table.column("extra"))
 
 
 def _count_words(table: pa.Table) -> pa.Table:
@@ -154,11 +162,11 @@ def _grow(table: pa.Table) -> pa.Table:
         expected.append(chunked.unplanes(x[cut:]))
     every, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
     total = np.bincount(place, np.concatenate(counts).astype(float), len(every)).astype(np.int64)
-    log_expected = (np.concatenate(expected)[first].astype(float) - 400) / 8 * np.log(2)
-    mark = (every & np.uint64((1 << 28) - 1)) == 0
+    log_expected = (np.concatenate(expected)[first].astype(float) - 124) / 4 * np.log(2)
+    mark = (every & np.uint64((1 << WORD_BITS) - 1)) == 0
     with np.errstate(divide="ignore"):
         kept = ~mark & (total >= LEAST_PAIR) & (total * (np.log(np.maximum(total, 1)) - log_expected) >= DIVERGENCE)
-    _, head = np.unique(every >> np.uint64(28), return_inverse=True)
+    _, head = np.unique(every >> np.uint64(WORD_BITS), return_inverse=True)
     sums = np.bincount(head, np.where(kept, total, 0)).astype(np.int64)
     say = np.where(mark, sums[head], np.where(total >= LEAST_PAIR, 2 * total + kept, 0))
     at = np.cumsum([0] + [len(k) for k in keys])
