@@ -99,11 +99,11 @@ class Chunk:
         self.hot = got[self.key] > 1
         self.occurs_at, self.occurs_doc = at, self.ids[doc]
 
-    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted hashes of the windows of hot anchors, and the surroundings and shift of each."""
+    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted distinct hashes of the windows of hot anchors and the least document of each; for every window its hash's place, surroundings and shift."""
         rows = np.flatnonzero(self.hot)
         if not len(rows):
-            return np.zeros(0, np.uint64), rows, rows
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), rows, rows, rows
         flat = np.ascontiguousarray(self.around[rows, :-2])
         wide = flat.shape[1]
         sums = tb.running(flat.ravel(), tb.RAW)
@@ -114,7 +114,9 @@ class Chunk:
             out.append((tb.span_hash(sums, start, start + self.length), rows[ok], np.full(len(ok), shift)))
         h, r, s = (np.concatenate(x) for x in zip(*out))
         order = np.lexsort((self.first_doc[r], h))
-        return h[order], r[order], s[order]
+        h, r, s = h[order], r[order], s[order]
+        distinct, first, same = np.unique(h, return_index=True, return_inverse=True)
+        return distinct, self.first_doc[r][first], same, r, s
 
     def send_surroundings(self, chunk: int) -> pa.Table:
         rows, cold = [], np.flatnonzero(~self.hot)
@@ -123,9 +125,9 @@ class Chunk:
             # Columns one after another: like bytes stand together.
             body = np.ascontiguousarray(self.around[cold[s:e]]).tobytes()
             rows.append((b, chunk, CONTEXT, self.first_doc[cold[s:e]].tobytes(), body))
-        h, r, _ = self.windows()
+        h, least, *_ = self.windows()
         for b, s, e in chunked.cut(h, 64, self.buckets):
-            rows.append((b, chunk, WINDOW, h[s:e].tobytes(), self.first_doc[r[s:e]].tobytes()))
+            rows.append((b, chunk, WINDOW, h[s:e].tobytes(), least[s:e].tobytes()))
         return chunked.sent(rows)
 
     def hear_surroundings(self, heard: pa.Table) -> np.ndarray:
@@ -133,8 +135,9 @@ class Chunk:
         masks = np.zeros(len(self.key), np.uint64)
         cold = np.flatnonzero(~self.hot)
         masks[cold] = np.frombuffer(b"".join(a for _, a in chunked.gathered(heard, CONTEXT)), np.uint64)
-        _, r, s = self.windows()
+        _, least, same, r, s = self.windows()
         gone = np.frombuffer(b"".join(a for _, a in chunked.gathered(heard, WINDOW)), np.uint8) > 0
+        gone = gone[same] | (self.first_doc[r] > least[same])
         np.bitwise_or.at(masks, r[gone], np.uint64(1) << s[gone].astype(np.uint64))
         later = self.occurs_doc > self.first_doc[self.same]
         starts = np.zeros(len(self.data) + 1, bool)
