@@ -16,21 +16,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievewright.llm import textbytes as tb
-from sievewright.llm.common import parts_for
+from sievewright.llm.common import input_bytes
 
 SENT = "bucket int, chunk int, kind int, keys binary, extra binary"
 ANSWER = "chunk int, bucket int, kind int, answer binary"
 
 
-def in_chunks(docs: DataFrame, bytes_each: int = 3 << 20, carry: list[str] | None = None) -> DataFrame:
-    """(chunk, doc_id, text) and the columns of ``carry``, as _carry_0 and so on; the number of chunks follows the input's size."""
-    n = parts_for(docs, bytes_each, 4)
-    rest = [F.col(f"`{c}`").alias(f"_carry_{k}") for k, c in enumerate(carry or [])]
-    return docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int").alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"), "text", *rest)
+def _groups(docs: DataFrame, least: int, share: int, most: int, at_least: int) -> int:
+    """Groups of ``least`` bytes of input, larger ones (up to ``most``) on inputs of more than ``share`` of them.
+
+    A row goes from each chunk to each bucket, so their numbers may not both grow with the input.
+    """
+    size = input_bytes(docs)
+    return max(at_least, -(-size // min(most, max(least, size // share))))
+
+
+def chunk_count(docs: DataFrame) -> int:
+    return _groups(docs, 3 << 20, 1 << 12, 16 << 20, 4)
 
 
-def bucket_count(docs: DataFrame, bytes_each: int = 1 << 20) -> int:
-    return parts_for(docs, bytes_each, 256)
+def bucket_count(docs: DataFrame) -> int:
+    return _groups(docs, 1 << 20, 1 << 14, 16 << 20, 256)
+
+
+def in_chunks(docs: DataFrame, chunks: int, carry: list[str] | None = None) -> DataFrame:
+    """(chunk, doc_id, text) and the columns of ``carry``, as _carry_0 and so on."""
+    rest = [F.col(f"`{c}`").alias(f"_carry_{k}") for k, c in enumerate(carry or [])]
+    return docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int").alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"), "text", *rest)
 
 
 def pack(keys: np.ndarray) -> bytes:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,11 +17,6 @@ def input_bytes(df: DataFrame) -> int:
     return size
 
 
-def parts_for(df: DataFrame, bytes_each: int = 8 << 20, at_least: int = 8) -> int:
-    """Partitions (or groups) so that each holds about ``bytes_each`` of input at every size."""
-    return max(at_least, math.ceil(input_bytes(df) / bytes_each))
-
-
 def remainder(doc_id: Column, mod: int) -> Column:
     """crc32 of the id written as text, modulo ``mod``."""
     return F.crc32(doc_id.cast("string").cast("binary")) % mod

@@ -239,7 +239,7 @@ def repeated_passages(docs: DataFrame, length: int = 50, with_text: bool = False
     if not GRAM < length <= GRAM + 40:
         raise ValueError(f"length must be over {GRAM} and at most {GRAM + 40}")
     carry = carry or []
-    texts, buckets = chunked.in_chunks(docs, carry=carry), chunked.bucket_count(docs)
+    texts, buckets = chunked.in_chunks(docs, chunked.chunk_count(docs), carry), chunked.bucket_count(docs)
 
     def first(key, table):
         return Chunk(table, length, buckets).send_keys(key[0].as_py())

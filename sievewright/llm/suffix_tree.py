@@ -189,7 +189,8 @@ def score(docs: DataFrame, mod: int = 7, held: int = 2, depth: int = 2) -> DataF
     are ignored; an empty table gives an empty result, and without training rows every
     token is unseen.
     """
-    texts, buckets = chunked.in_chunks(docs), chunked.bucket_count(docs)
+    n_chunks, buckets = chunked.chunk_count(docs), chunked.bucket_count(docs)
+    texts = chunked.in_chunks(docs, n_chunks)
 
     def state(table, heard, level):
         s = Scored(table, mod, held)
@@ -204,7 +205,6 @@ def score(docs: DataFrame, mod: int = 7, held: int = 2, depth: int = 2) -> DataF
     by_chunk = texts.groupBy("chunk")
     counts = by_chunk.applyInArrow(words, chunked.SENT).groupBy("bucket").applyInArrow(_count_words, chunked.ANSWER)
     totals = counts.where(f"kind >= {TOTALS}").groupBy("kind").agg(F.sum(F.col("answer").cast("string").cast("decimal(38,0)")).cast("string").cast("binary").alias("answer"))
-    n_chunks = chunked.parts_for(docs, 3 << 20, 4)
     totals = totals.select(F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))).alias("chunk"), F.lit(-1).alias("bucket"), "kind", "answer")
     heard = counts.where(f"kind < {TOTALS}").unionAll(totals)
     def pairs_of(level):
