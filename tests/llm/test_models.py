@@ -93,7 +93,9 @@ def test_lm_uses_context(spark):
     got = suffix_tree.score(spark.createDataFrame(rows, "doc_id long, text string"), depth=2).collect()
     flat = suffix_tree.score(spark.createDataFrame(rows, "doc_id long, text string"), depth=0).collect()
     total = lambda rows, c: sum(r[c] for r in rows)
-    assert total(got, "score") > 0.7 * total(flat, "score") and total(flat, "score") > total(flat, "base_score")
+    assert total(got, "score") > 0.7 * total(flat, "score")
+    # Where every token is known, the root and the add-one base all but agree.
+    assert abs(total(flat, "score") / total(flat, "base_score") - 1) < 0.01
 
 
 def brute_counts(t):
