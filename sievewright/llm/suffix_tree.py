@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from sievewright.llm import chunked
 from sievewright.llm import textbytes as tb
 
-DIVERGENCE, LEAST_PAIR, LEAST_CONTEXT, PULL, SHARD, WORD_BITS = 16.0, 5, 8, 1.0, 4096, 20
+DIVERGENCE, LEAST_PAIR, LEAST_CONTEXT, PULL, SHARD, WORD_BITS = 14.0, 3, 6, 1.0, 4096, 20
 ONE, LEVEL, TOTALS = 0, 1, 10  # kinds of answers: counts of words, of next words (1 and up), totals (10 to 12)
 END = np.uint64(0x5851F42D4C957F2D)
 
@@ -78,8 +78,9 @@ class Scored:
         ok = n >= LEAST_CONTEXT
         where, before, n = where[ok], before[ok], n[ok]
         shards = 1 + n // max(SHARD, self.n // 50_000)
-        contexts, first, which = np.unique(before, return_index=True, return_inverse=True)
-        many = shards[first]
+        contexts, which = np.unique(before, return_inverse=True)
+        many = np.zeros(len(contexts), np.int64)
+        many[which] = shards
         marks = np.repeat(contexts, many), np.concatenate([np.arange(m) for m in many]) if len(many) else np.zeros(0, int)
         heads = self._heads(*marks)
         word = self.words[self.token[where]]
@@ -98,9 +99,10 @@ class Scored:
         where, _, keys, known, n, marks, _ = self._level(depth)
         expected = np.rint(4 * np.log2(np.maximum(n * self.p[where], 1e-9))).astype(np.int64) + 124
         k = np.concatenate((keys[known], marks))
-        every, first, place = np.unique(k, return_index=True, return_inverse=True)
-        counts = np.bincount(place, np.concatenate((self.training[where[known]], np.zeros(len(marks)))), len(every)).astype(np.int64)
-        e = np.concatenate((expected[known], np.zeros(len(marks), np.int64)))[first]
+        every, place = np.unique(k, return_inverse=True)
+        counts = np.bincount(place[: len(k) - len(marks)], self.training[where[known]], len(every)).astype(np.int64)
+        e = np.zeros(len(every), np.int64)
+        e[place[: len(k) - len(marks)]] = expected[known]
         out = []
         for b, s, t in chunked.cut(every, 36 + WORD_BITS, buckets):
             c = chunked.planes(counts[s:t])
@@ -109,10 +111,10 @@ class Scored:
 
     def hear_level(self, heard: pa.Table, depth: int) -> None:
         where, which, keys, known, n, marks, mark_of = self._level(depth)
-        every = np.unique(np.concatenate((keys[known], marks)))
-        got = chunked.all_planes(chunked.gathered(heard, LEVEL + depth - 1)).astype(np.int64)
-        count, kept, sums = np.zeros(len(where), np.int64), np.zeros(len(where), bool), got[np.searchsorted(every, marks)]
-        pairs = got[np.searchsorted(every, keys[known])]
+        _, place = np.unique(np.concatenate((keys[known], marks)), return_inverse=True)
+        got = chunked.all_planes(chunked.gathered(heard, LEVEL + depth - 1)).astype(np.int64)[place]
+        pairs, sums = got[: len(got) - len(marks)], got[len(got) - len(marks) :]
+        count, kept = np.zeros(len(where), np.int64), np.zeros(len(where), bool)
         count[known], kept[known] = pairs >> 1, (pairs & 1) > 0
         kept_sum = np.bincount(mark_of, sums, (which.max() + 1) if len(which) else 0)[which] if len(which) else np.zeros(0)
         below = self.p[where]
@@ -137,6 +139,8 @@ class Scored:
 
 
 def _columns(table: pa.Table):
+    """What the chunks sent, in order of chunk: a range may be worked out more than once, and must come out alike."""
+    table = table.sort_by([("chunk", "ascending")])
     return table.column("bucket")[0].as_py(), table.column("chunk").to_pylist(), [chunked.unpack(k) for k in chunked.opened(table.column("keys"))], chunked.opened(table.column("extra"))
 
 
@@ -151,26 +155,35 @@ def _count_words(table: pa.Table) -> pa.Table:
     return chunked.answers(rows)
 
 
-def _grow(table: pa.Table) -> pa.Table:
-    """The divergence test on a range of (context, next word) counts; marks get the sum that their context's shard keeps."""
-    bucket, chunks, keys, extra = _columns(table)
-    kind = table.column("kind")[0].as_py()
-    counts, expected = [], []
-    for x in extra:
-        cut = 4 + int.from_bytes(x[:4], "little")
-        counts.append(chunked.unplanes(x[4:cut]))
-        expected.append(chunked.unplanes(x[cut:]))
-    every, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    total = np.bincount(place, np.concatenate(counts).astype(float), len(every)).astype(np.int64)
-    log_expected = (np.concatenate(expected)[first].astype(float) - 124) / 4 * np.log(2)
-    mark = (every & np.uint64((1 << WORD_BITS) - 1)) == 0
-    with np.errstate(divide="ignore"):
+def _grow(last: bool):
+    """The divergence test on a range of (context, next word) counts; marks get the sum that their context's shard keeps.
+
+    Counts that no one needs (not kept, and too small for a context or on the last level) are answered as 0.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        bucket, chunks, keys, extra = _columns(table)
+        kind = table.column("kind")[0].as_py()
+        counts, expected = [], []
+        for x in extra:
+            cut = 4 + int.from_bytes(x[:4], "little")
+            counts.append(chunked.unplanes(x[4:cut]))
+            expected.append(chunked.unplanes(x[cut:]))
+        every, place = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(place, np.concatenate(counts).astype(float), len(every)).astype(np.int64)
+        log_expected = np.zeros(len(every))
+        log_expected[place] = (np.concatenate(expected).astype(float) - 124) / 4 * np.log(2)
+        mark = (every & np.uint64((1 << WORD_BITS) - 1)) == 0
         kept = ~mark & (total >= LEAST_PAIR) & (total * (np.log(np.maximum(total, 1)) - log_expected) >= DIVERGENCE)
-    _, head = np.unique(every >> np.uint64(WORD_BITS), return_inverse=True)
-    sums = np.bincount(head, np.where(kept, total, 0)).astype(np.int64)
-    say = np.where(mark, sums[head], np.where(total >= LEAST_PAIR, 2 * total + kept, 0))
-    at = np.cumsum([0] + [len(k) for k in keys])
-    return chunked.answers([(c, bucket, kind, chunked.planes(say[place[a:b]])) for c, a, b in zip(chunks, at, at[1:])])
+        heads = every >> np.uint64(WORD_BITS)
+        head = np.cumsum(np.append(False, heads[1:] != heads[:-1]))
+        sums = np.bincount(head, np.where(kept, total, 0)).astype(np.int64)
+        needed = kept | (not last and total >= LEAST_CONTEXT)
+        say = np.where(mark, sums[head], np.where(needed, 2 * total + kept, 0))[place]
+        at = np.cumsum([0] + [len(k) for k in keys])
+        return chunked.answers([(c, bucket, kind, chunked.planes(say[a:b])) for c, a, b in zip(chunks, at, at[1:])])
+
+    return run
 
 
 def _nothing() -> pa.Table:
@@ -215,7 +228,7 @@ def score(docs: DataFrame, mod: int = 7, held: int = 2, depth: int = 2) -> DataF
 
     for level in range(1, depth + 1):
         sent = by_chunk.cogroup(heard.groupBy("chunk")).applyInArrow(pairs_of(level), chunked.SENT)
-        heard = heard.unionAll(sent.groupBy("bucket").applyInArrow(_grow, chunked.ANSWER))
+        heard = heard.unionAll(sent.groupBy("bucket").applyInArrow(_grow(level == depth), chunked.ANSWER))
 
     def final(key, table, heard):
         if not table.num_rows:

@@ -145,3 +145,18 @@ def test_quality_queries_on_edges(spark, edge_docs, no_docs, tmp_path, query):
     no_docs.write.parquet(f"{tmp_path}/none/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/none/labels.parquet")
     assert quality_queries.QUERIES[query](spark, f"{tmp_path}/none").collect() == []
+
+
+def test_ranges_do_not_depend_on_the_order_of_their_rows():
+    """Two words that share a key bring different expectations; the answers are the same whichever chunk comes first."""
+    from sievewright.llm import chunked
+
+    keys = np.array([5 << 20, (5 << 20) + 1, (5 << 20) + 9], np.uint64)
+
+    def row(chunk, counts, expected):
+        c = chunked.planes(np.array(counts))
+        return (0, chunk, suffix_tree.LEVEL, chunked.pack(keys), len(c).to_bytes(4, "little") + c + chunked.planes(np.array(expected)))
+
+    rows = [row(0, [0, 9, 4], [0, 100, 120]), row(1, [0, 9, 4], [0, 160, 120]), row(2, [0, 1, 0], [0, 131, 90])]
+    said = [sorted(zip(t.column("chunk").to_pylist(), t.column("answer").to_pylist())) for t in (suffix_tree._grow(False)(chunked.sent(r)) for r in (rows, rows[::-1], [rows[1], rows[2], rows[0]]))]
+    assert said[0] == said[1] == said[2]
