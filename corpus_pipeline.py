@@ -15,6 +15,9 @@ from sievewright.sources.tables import table
 
 #: Documents whose language is less certain than this go, as do those without a letter.
 LEAST_LANGUAGE = 0.5
+#: Percent of shared shingles from which documents are near duplicates. At 80 % a pair agrees in 51.2 of 64 coordinates, with a
+#: standard deviation of 3.2; in fewer than 35 of them with a probability of 1.2 in a million.
+NEAR, AGREEING = 80, 35
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +29,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document, that with the smallest id, of each group of near duplicates."""
-    kept = minhash.near_duplicates(docs).where("kept").select("doc_id").distinct()
+    kept = minhash.near_duplicates(docs, percent=NEAR, threshold=AGREEING).where("kept").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
 
 
