@@ -1,16 +1,17 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are runs of letters and digits, with A-Z folded. The vector space has the terms
-whose association with the label passes a chi-squared test on a bounded labelled sample
-(``CHI2``, at most ``MAX_TERMS``); their document frequencies count all documents. The
-examples (at most ``MAX_EACH`` of each label) stand in an inverted index cut into blocks
-of ``BLOCK`` examples, each with the largest weight that a term has in it. A query takes
-blocks by their upper bound and stops when no other block can reach its k nearest, so
-the result is that of comparing it with every example. Votes weigh by squared
-similarity, and isotonic regression on leave-one-out votes calibrates them.
-
-Vocabulary and examples have fixed bounds, so the broadcast index has one too; scoring
-the corpus is one pass over the texts without a shuffle.
+Terms are runs of letters and digits, with A-Z folded. The vector space has all terms of
+a bounded labelled sample (at most ``MAX_EACH`` examples of each label); their document
+frequencies count all documents. A term's weight grows with the chi-squared statistic of
+its association with the label in the sample, and no term's falls below its TF-IDF.
+
+A query is compared with every example: terms of more than one in ``OFTEN`` examples as a
+product of dense matrices for ``QUERIES`` queries at once, the others through an inverted
+index. Votes weigh by squared similarity, and isotonic regression on leave-one-out votes
+calibrates them.
+
+The examples have a fixed number, so the broadcast index grows with their texts only;
+scoring the corpus is one pass over the texts without a shuffle.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from __future__ import annotations
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from sievewright.llm import textbytes as tb
 from sievewright.llm.common import hashed_order
 
-MAX_EACH, MAX_TERMS, BLOCK, NEAREST, CHI2, PULL = 3000, 4096, 64, 15, 30.0, 0.5
+MAX_EACH, OFTEN, QUERIES, NEAREST, PULL = 3000, 16, 64, 15, 0.5
 EVIDENCE = "array<struct<doc_id:bigint,similarity:double,toxic:int>>"
 
 
@@ -70,7 +72,7 @@ def _vectors(batch: pa.RecordBatch, vocabulary: Vocabulary) -> Iterator[tuple[in
 
 @dataclass
 class Index:
-    """Block-max inverted index over normalised example vectors."""
+    """Normalised example vectors: a dense matrix of the frequent terms, an inverted index of the others."""
 
     hashes: np.ndarray
     idf: np.ndarray
@@ -84,37 +86,53 @@ class Index:
     def __post_init__(self):
         self.vocabulary = Vocabulary(self.hashes)
         n, t = len(self.examples), len(self.hashes)
-        rows = np.repeat(np.arange(n), [len(x) for x, _ in self.examples]) if n else np.zeros(0, int)
+        rows = np.repeat(np.arange(n, dtype=np.int32), [len(x) for x, _ in self.examples]) if n else np.zeros(0, np.int32)
         vecs = [self.weigh(x, c) for x, c in self.examples]
         terms = np.concatenate([x for x, _ in self.examples]) if n else np.zeros(0, int)
         values = np.concatenate(vecs) if n else np.zeros(0)
-        order = np.lexsort((rows, terms))
-        self.rows, self.values, terms = rows[order], values[order], terms[order]
-        self.at = np.searchsorted(terms, np.arange(t + 1))
-        blocks = max(1, -(-n // BLOCK))
-        self.block_max = np.zeros((t, blocks))
-        np.maximum.at(self.block_max, (terms, self.rows // BLOCK), self.values)
+        order = np.argsort(terms, kind="stable")
+        rows, values, terms = rows[order], values[order], terms[order]
+        often = np.bincount(terms, minlength=t) > max(1, n // OFTEN)
+        self.place = np.where(often, np.cumsum(often) - 1, -1)
+        self.dense = np.zeros((int(often.sum()), n))
+        wide = often[terms]
+        self.dense[self.place[terms[wide]], rows[wide]] = values[wide]
+        self.rows, self.values = rows[~wide], values[~wide]
+        self.at = np.searchsorted(terms[~wide], np.arange(t + 1))
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"examples": []}  # which calibration alone needs
 
     def weigh(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         w = (1 + np.log(counts)) * self.idf[terms]
         return w / max(1e-12, np.sqrt((w * w).sum()))
 
-    def nearest(self, terms: np.ndarray, counts: np.ndarray, skip: int = -1, k: int = NEAREST) -> list[tuple[float, int]]:
+    def cosines(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Of every query (terms, counts) with every example."""
+        n = len(self.doc_ids)
+        weights, wide = [self.weigh(x, c) for x, c in queries], np.zeros((len(queries), len(self.dense)))
+        for k, ((x, _), w) in enumerate(zip(queries, weights)):
+            often = self.place[x] >= 0
+            wide[k, self.place[x[often]]] = w[often]
+        out = wide @ self.dense
+        for k, ((x, _), w) in enumerate(zip(queries, weights)):
+            size = self.at[x + 1] - self.at[x]
+            ends = np.cumsum(size)
+            if len(ends) and ends[-1]:
+                at = np.arange(ends[-1]) + np.repeat(self.at[x] - ends + size, size)
+                out[k] += np.bincount(self.rows[at], self.values[at] * np.repeat(w, size), n)
+        return out
+
+    def best(self, cosines: np.ndarray, skip: int = -1, k: int = NEAREST) -> list[tuple[float, int]]:
         """The k examples of largest cosine (above 0), ties by place; ``skip`` is left out."""
-        q = self.weigh(terms, counts)
-        bound = q @ self.block_max[terms]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) == k and bound[b] < -best[-1][0] - 1e-9:
-                break
-            score = np.zeros(BLOCK)
-            for t, w in zip(terms, q):
-                rows = self.rows[self.at[t] : self.at[t + 1]]
-                lo, hi = np.searchsorted(rows, (b * BLOCK, (b + 1) * BLOCK))
-                score[rows[lo:hi] - b * BLOCK] += w * self.values[self.at[t] + lo : self.at[t] + hi]
-            hits = [(-round(float(score[r]), 9), int(b * BLOCK + r)) for r in np.flatnonzero(score > 0) if b * BLOCK + r != skip]
-            best = sorted(best + hits)[:k]
-        return [(-s, r) for s, r in best]
+        if skip >= 0:
+            cosines[skip] = 0
+        least = np.partition(cosines, -k)[-k] - 1e-8 if len(cosines) > k else 0
+        hits = sorted((-round(float(cosines[r]), 9), int(r)) for r in np.flatnonzero((cosines > 0) & (cosines >= least)))
+        return [(-s, r) for s, r in hits[:k]]
+
+    def nearest(self, terms: np.ndarray, counts: np.ndarray, skip: int = -1, k: int = NEAREST) -> list[tuple[float, int]]:
+        return self.best(self.cosines([(terms, counts)])[0], skip, k)
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         s = np.array([x * x * self.weights[self.labels[r]] for x, r in near])
@@ -123,7 +141,11 @@ class Index:
 
     def calibrate(self) -> None:
         """Isotonic regression (pool adjacent violators) of the labels on leave-one-out votes."""
-        got = sorted((round(self.vote(self.nearest(x, c, skip=r)) if len(x) else self.prior, 6), r) for r, (x, c) in enumerate(self.examples))
+        got = []
+        for low in range(0, len(self.examples), QUERIES):
+            for r, cosines in enumerate(self.cosines(self.examples[low : low + QUERIES]), low):
+                got.append((round(self.vote(self.best(cosines, skip=r)) if len(self.examples[r][0]) else self.prior, 6), r))
+        got.sort()
         pools: list[list[float]] = []  # weight, weighted positives, first and last vote
         for v, r in got:
             w = self.weights[self.labels[r]]
@@ -139,10 +161,11 @@ class Index:
                 pools[-1][3] = last
         self.steps = (np.array([(p[2] + p[3]) / 2 for p in pools]), np.array([(p[1] + 2 * self.prior) / (p[0] + 2) for p in pools]))
 
-    def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list[tuple[float, int]]]:
-        near = self.nearest(terms, counts) if len(terms) else []
-        v = self.vote(near)
-        return (float(np.interp(v, *self.steps)) if self.steps and len(self.steps[0]) else self.prior), near
+    def scores(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[float, list[tuple[float, int]]]]:
+        for cosines in self.cosines(queries):
+            near = self.best(cosines)
+            v = self.vote(near)
+            yield (float(np.interp(v, *self.steps)) if self.steps and len(self.steps[0]) else self.prior), near
 
 
 def _bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,7 +198,7 @@ def _unlike(bags: list) -> list:
 
 
 def _select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In one task over the bounded sample: chi-squared selection; the terms, and the examples in them."""
+    """In one task over the bounded sample: its terms, their chi-squared statistics, and the examples in them."""
     rows = sorted((r["doc_id"], r["y"], r["terms"], r["counts"]) for b in batches for r in b.to_pylist())
     bags = _unlike([(i, y, np.frombuffer(t, np.uint64), np.frombuffer(c, np.int32)) for i, y, t, c in rows])
     y = np.array([b[1] for b in bags], int)
@@ -187,17 +210,9 @@ def _select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     with np.errstate(divide="ignore", invalid="ignore"):
         chi2 = n * (a * n - df * pos) ** 2 / (df * (n - df) * pos * max(1, n - pos))
     chi2[~np.isfinite(chi2) | (df < 4)] = 0
-    chosen = np.flatnonzero(chi2 >= CHI2)
-    chosen = np.sort(chosen[np.argsort(-chi2[chosen], kind="stable")][:MAX_TERMS])
-    number = np.full(len(terms), -1)
-    number[chosen] = np.arange(len(chosen))
-    number = number[place]
     cut = np.concatenate(([0], np.cumsum([len(b[2]) for b in bags]))).astype(int)
-    out = []
-    for k, (i, label, _, c) in enumerate(bags):
-        x = number[cut[k] : cut[k + 1]]
-        out.append((i, label, x[x >= 0].astype(np.int64), c[x >= 0].astype(np.int64)))
-    yield pa.RecordBatch.from_arrays([tb.binary_column([pickle.dumps((terms[chosen], out))])], ["model"])
+    out = [(i, label, place[cut[k] : cut[k + 1]].astype(np.int32), c) for k, (i, label, _, c) in enumerate(bags)]
+    yield pa.RecordBatch.from_arrays([tb.binary_column([pickle.dumps((terms, chi2, out))])], ["model"])
 
 
 def train(documents: DataFrame, labels: DataFrame, usable: Column) -> Index:
@@ -211,7 +226,7 @@ def train(documents: DataFrame, labels: DataFrame, usable: Column) -> Index:
     sample = documents.select("doc_id", "text").join(F.broadcast(ids[0].unionAll(ids[1])), F.col("doc_id") == F.col("_id"))
     sample = sample.select("doc_id", "text", "y").dropDuplicates(["text", "y"])
     got = sample.mapInArrow(_bag, "doc_id bigint, y int, terms binary, counts binary").repartition(1).mapInArrow(_select, "model binary").first()
-    hashes, rows = pickle.loads(bytes(got["model"]))
+    hashes, chi2, rows = pickle.loads(bytes(got["model"]))
     vocabulary = Vocabulary(hashes)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,20 +235,24 @@ def train(documents: DataFrame, labels: DataFrame, usable: Column) -> Index:
             n += batch.num_rows
             for base, owner, h in _terms(batch):
                 at, k = vocabulary.find(h)
-                np.add.at(df, np.unique(owner[at].astype(np.int64) * max(1, len(df)) + k) % max(1, len(df)), 1)
+                df += np.bincount(np.unique(owner[at].astype(np.int64) * max(1, len(df)) + k) % max(1, len(df)), minlength=len(df))
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(df[at], n))], ["term", "n"])
 
-    df = dict(map(tuple, documents.select("text").mapInArrow(frequencies, "term int, n bigint").groupBy("term").agg(F.sum("n")).collect()))
-    total = df.pop(-1, 0)
-    idf = np.log((1 + total) / (1 + np.array([df.get(k, 0) for k in range(len(hashes))], float))) + 0.1
+    counted = documents.select("text").mapInArrow(frequencies, "term int, n bigint").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(len(hashes) + 1)  # the last place has the number of documents
+    df[counted.column("term").to_numpy()] = counted.column("n").to_numpy()
+    idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 0.1
+    idf *= 1 + np.log1p(chi2)
     y = np.array([r[1] for r in rows], int)
     in_sample = [max(1, int((y == k).sum())) for k in (0, 1)]
     weights = np.array([share.get(k, 0) / in_sample[k] for k in (0, 1)])
     weights = weights / max(1e-9, weights[1]) if weights[1] else np.ones(2)
     prior = (share.get(1, 0) + 0.5) / (share.get(0, 0) + share.get(1, 0) + 1)
     index = Index(hashes, idf, np.array([r[0] for r in rows], np.int64), y, weights, prior, [(r[2], r[3]) for r in rows])
+    del rows, got
     index.calibrate()
+    index.examples = []
     return index
 
 
@@ -250,18 +269,14 @@ def score(documents: DataFrame, index: Index) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not held:
             held.append(pickle.loads(shared.value))
-        model, known = held[0], {}
-        blank, _ = model.score(np.zeros(0, int), np.zeros(0, int))
+        model = held[0]
+        blank, _ = next(model.scores([(np.zeros(0, int), np.zeros(0, int))]))
         for batch in batches:
             out, proof = np.full(batch.num_rows, blank), [[] for _ in range(batch.num_rows)]
-            for row, terms, counts in _vectors(batch, model.vocabulary):
-                key = (terms.tobytes(), counts.tobytes())
-                if key not in known:
-                    if len(known) >= 50_000:
-                        known.clear()
-                    v, near = model.score(terms, counts)
-                    known[key] = v, [{"doc_id": int(model.doc_ids[r]), "similarity": s, "toxic": int(model.labels[r])} for s, r in near[:3]]
-                out[row], proof[row] = known[key]
+            found = _vectors(batch, model.vocabulary)
+            while some := list(islice(found, QUERIES)):
+                for (row, _, _), (v, near) in zip(some, model.scores([(terms, counts) for _, terms, counts in some])):
+                    out[row], proof[row] = v, [{"doc_id": int(model.doc_ids[r]), "similarity": s, "toxic": int(model.labels[r])} for s, r in near[:3]]
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out), pa.array(proof, kind)], ["doc_id", "score", "evidence"])
 
