@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from sievewright.llm import textbytes as tb
 from sievewright.llm.common import input_bytes
 
-SENT = "bucket int, chunk int, kind int, keys binary, extra binary"
-ANSWER = "chunk int, bucket int, kind int, answer binary"
+SENT = "bucket int, chunk bigint, kind int, keys binary, extra binary"
+ANSWER = "chunk bigint, bucket int, kind int, answer binary"
 
 
 def _groups(docs: DataFrame, least: int, share: int, most: int, at_least: int) -> int:
@@ -35,14 +35,14 @@ def chunk_count(docs: DataFrame) -> int:
     return _groups(docs, 3 << 20, 1 << 12, 16 << 20, 4)
 
 
-def bucket_count(docs: DataFrame) -> int:
-    return _groups(docs, 1 << 20, 1 << 14, 16 << 20, 256)
+def bucket_count(docs: DataFrame, least: int = 1 << 20, at_least: int = 256) -> int:
+    return _groups(docs, least, 1 << 14, 16 << 20, at_least)
 
 
 def in_chunks(docs: DataFrame, chunks: int, carry: list[str] | None = None) -> DataFrame:
     """(chunk, doc_id, text) and the columns of ``carry``, as _carry_0 and so on."""
     rest = [F.col(f"`{c}`").alias(f"_carry_{k}") for k, c in enumerate(carry or [])]
-    return docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int").alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"), "text", *rest)
+    return docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("long").alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"), "text", *rest)
 
 
 def pack(keys: np.ndarray) -> bytes:
@@ -82,19 +82,23 @@ def squeezed(data: bytes) -> bytes:
     return len(data).to_bytes(4, "little") + pa.compress(data, "zstd", asbytes=True) if data else b""
 
 
+def opened_one(data: bytes) -> bytes:
+    return pa.decompress(data[4:], int.from_bytes(data[:4], "little"), "zstd", asbytes=True) if data else b""
+
+
 def opened(column: pa.ChunkedArray) -> list[bytes]:
-    return [pa.decompress(x[4:], int.from_bytes(x[:4], "little"), "zstd", asbytes=True) if x else b"" for x in column.to_pylist()]
+    return [opened_one(x) for x in column.to_pylist()]
 
 
 def sent(rows: list[tuple[int, int, int, bytes, bytes]]) -> pa.Table:
     cols = list(zip(*[(*r[:3], squeezed(r[3]), squeezed(r[4])) for r in rows])) if rows else [[]] * 5
-    return pa.table([pa.array(c, k) for c, k in zip(cols, (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "chunk", "kind", "keys", "extra"])
+    return pa.table([pa.array(c, k) for c, k in zip(cols, (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "chunk", "kind", "keys", "extra"])
 
 
 def answers(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
     """Rows for chunks, squeezed, and rows for none (-1) as they are."""
     cols = list(zip(*[(*r[:3], squeezed(r[3]) if r[0] >= 0 else r[3]) for r in rows])) if rows else [[]] * 4
-    return pa.table([pa.array(c, k) for c, k in zip(cols, (pa.int32(), pa.int32(), pa.int32(), pa.binary()))], names=["chunk", "bucket", "kind", "answer"])
+    return pa.table([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["chunk", "bucket", "kind", "answer"])
 
 
 def gathered(table: pa.Table, kind: int) -> list[tuple[int, bytes]]:

@@ -1,238 +1,411 @@
 """LM scoring with a probabilistic suffix tree over words.
 
-States are contexts of zero, one or two words. The root has Good-Turing estimates: all
-unseen words together get the share that words seen once have. A longer context keeps
-the next words whose counts diverge from what its suffix predicts (count times log
-ratio at or above ``DIVERGENCE``), and is a state if it keeps any; what it does not keep
-is predicted by its suffix, so with c(s) the context's count and R(s) the count of the
-words it keeps,
+The root has Good-Turing estimates: the V known words share 1 - u of the mass by their
+counts, and V + 1 words that may still come share u, the part of the tokens whose word
+occurs once, so the root adds up to one over an open vocabulary. A context s (some words
+before a token, within its text) is looked at if it occurs ``least`` times, its suffix, one
+word shorter, is a state, and what stands before its last word was looked at. It keeps the next words w whose counts diverge from what
+the suffix s' predicts,
 
-    P(w|s) = [w kept] c(s,w) / (c(s) + PULL) + (1 - R(s) / (c(s) + PULL)) * P(w|suffix of s),
+    c(s,w) >= least and c(s,w) * log(c(s,w) / (c(s) * P(w|s'))) >= divergence,
 
-which adds up to one. Scoring takes the longest suffix that is a state.
+(the expectation's binary logarithm rounded to 1/16) and is a state if it keeps any. What it
+does not keep is predicted by its suffix; with R(s) the count of the words it keeps,
 
-No part of the tree is broadcast or collected: each level is one exchange of counts
-between chunks of texts and ranges of hashed keys. A frequent context is dealt
-into shards of its next words, so it never meets in one task; context counts of one
-word are exact, contexts and their next words are told apart by 36 and 20 bits of hash.
+    P(w|s) = [w kept] c(s,w) / (c(s) + pull) + (1 - R(s) / (c(s) + pull)) * P(w|s'),
+
+which adds up to one. The tree deepens until no context keeps anything; a token is
+predicted by the longest suffix of what stands before it that is a state.
+
+No part of the tree is broadcast or collected. Texts are coded once into blocks of tokens;
+each level is one exchange between blocks and buckets of contexts. Words and contexts have
+numbers that their bucket gives them, so counts are exact (words are told apart by 64 bits
+of hash). A frequent context is dealt into shards of its next words, so that it never
+meets in one task. The first ``UNROLLED`` levels, which most tokens reach, are one job over one
+exchange of the blocks; each deeper level is a job over the few tokens that reach it.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievewright.llm import chunked
 from sievewright.llm import textbytes as tb
+from sievewright.llm.staging import staged
 
-DIVERGENCE, LEAST_PAIR, LEAST_CONTEXT, PULL, SHARD, WORD_BITS = 14.0, 3, 6, 1.0, 4096, 20
-ONE, LEVEL, TOTALS = 0, 1, 10  # kinds of answers: counts of words, of next words (1 and up), totals (10 to 12)
+DIVERGENCE, LEAST, PULL = 10.0, 2, 1.0
+BLOCK, SHARD, UNROLLED = 1 << 20, 4096, 3
+WORDS, TOTALS = 0, -1  # kinds of answers: of the root, and three totals from -1 down; the others are levels
 END = np.uint64(0x5851F42D4C957F2D)
+GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+STEPS, ZERO = 16, 1 << 14  # of the expectation's logarithm, and what stands for 0
+TOKENS = "block bigint, ids array<bigint>, sizes array<bigint>, words binary, tokens binary"
+DOCS = ["ids", "n_tokens", "n_known", "base", "score"]
+STATE = "block bigint, ids array<bigint>, n_tokens array<bigint>, n_known array<bigint>, base array<double>, score array<double>, active bigint, arrays binary"
+RESULT = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+
+
+@dataclass(frozen=True)
+class Corpus:
+    """The parameters, and the numbers of the training tokens."""
+
+    mod: int
+    held: int
+    buckets: int
+    divergence: float = DIVERGENCE
+    least: int = LEAST
+    pull: float = PULL
+    shard: int = SHARD
+    n: int = 0
+    v: int = 0
+    once: int = 0
+
+    def held_out(self, ids: list) -> list:
+        """Null for a row without a doc_id, which is not learned from either."""
+        return [None if i is None else zlib.crc32(str(i).encode()) % self.mod == self.held for i in ids]
+
+    def learned(self, ids: list) -> np.ndarray:
+        return np.array([h is False for h in self.held_out(ids)], bool)
+
+
+def joined(*parts: bytes) -> bytes:
+    return b"".join(len(p).to_bytes(4, "little") + p for p in parts)
+
+
+def parted(data: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(data):
+        n = int.from_bytes(data[at : at + 4], "little")
+        out.append(data[at + 4 : at + 4 + n])
+        at += 4 + n
+    return out
+
+
+def runs(sorted_values: np.ndarray) -> np.ndarray:
+    """Where a new value starts."""
+    return np.append(True, sorted_values[1:] != sorted_values[:-1]) if len(sorted_values) else np.zeros(0, bool)
+
 
+def paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One number for each pair, in the order of the pairs; where 64 bits are too few, by the places of ``a``'s values."""
+    bits = int(b.max()).bit_length() if len(b) else 0
+    if len(a) and int(a.max()).bit_length() + bits > 63:
+        a = np.unique(a, return_inverse=True)[1]
+    return (a.astype(np.uint64) << np.uint64(bits)) | b.astype(np.uint64)
 
-class Scored:
-    """The tokens of a chunk and what is known about them so far."""
 
-    def __init__(self, table: pa.Table, mod: int, held: int):
-        self.ids, data, offsets = chunked.texts_of(table)
-        parts = []
-        counts = np.zeros(len(self.ids), np.int64)
+def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The tokens of the texts in blocks of about ``most``, coded by the words of their block."""
+    place, seq = TaskContext.get().partitionId(), 0
+    held: list[tuple[list, np.ndarray, np.ndarray]] = []
+    size = 0
+
+    def block() -> pa.RecordBatch:
+        ids = [i for x, _, _ in held for i in x]
+        sizes = np.concatenate([x for _, x, _ in held])
+        words, token = np.unique(np.concatenate([x for _, _, x in held]), return_inverse=True)
+        columns = [pa.array([(place << 32) + seq]), pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64()))]
+        columns += [tb.binary_column([chunked.squeezed(x)]) for x in (chunked.pack(words), chunked.planes(token))]
+        return pa.RecordBatch.from_arrays(columns, ["block", "ids", "sizes", "words", "tokens"])
+
+    for batch in batches:
+        data, offsets = tb.buffers(batch.column("text"))
+        ids = batch.column("doc_id").to_pylist()
         for i, j in tb.slices(offsets):
             _, _, h, first = tb.words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-            parts.append(np.insert(h, first[1:], END))
-            counts[i:j] = np.diff(first) + 1
-        tokens = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-        self.at = np.concatenate(([0], np.cumsum(counts)))
-        self.held = np.array([zlib.crc32(str(i).encode()) % mod == held for i in self.ids], bool)
-        self.training = np.repeat(~self.held, counts)
-        self.owner = np.repeat(np.arange(len(counts)), counts)
-        self.words, self.token = np.unique(tokens, return_inverse=True)
-
-    def send_words(self, chunk: int, buckets: int) -> pa.Table:
+            held.append((ids[i:j], np.diff(first) + 1, np.insert(h, first[1:], END)))
+            size += len(held[-1][2])
+            if size >= most:
+                yield block()
+                held, size, seq = [], 0, seq + 1
+    if held:
+        yield block()
+
+
+class Block:
+    """A block's tokens."""
+
+    def __init__(self, row: dict, corpus: Corpus):
+        self.ids, self.sizes = row["ids"], np.array(row["sizes"], np.int64)
+        self.words, self.token = (f(chunked.opened_one(row[c])) for f, c in ((chunked.unpack, "words"), (chunked.unplanes, "tokens")))
+        self.token = self.token.astype(np.int64)
+        self.at = np.concatenate(([0], np.cumsum(self.sizes)))
+        self.training = np.repeat(corpus.learned(self.ids), self.sizes)
+
+    def send_words(self, block: int, buckets: int) -> pa.Table:
         n = np.bincount(self.token, self.training, len(self.words)).astype(np.int64)
-        return chunked.sent([(b, chunk, ONE, chunked.pack(self.words[s:e]), chunked.planes(n[s:e])) for b, s, e in chunked.cut(self.words, 64, buckets)])
-
-    @staticmethod
-    def _total(heard: pa.Table, k: int) -> bytes:
-        return heard.filter(pa.compute.equal(heard.column("kind"), TOTALS + k)).column("answer")[0].as_py()
-
-    def hear_words(self, heard: pa.Table) -> None:
-        got = chunked.all_planes(chunked.gathered(heard, ONE)).astype(np.int64)
-        self.n, self.v, self.once = (int(self._total(heard, k)) for k in range(3))
-        self.count = got[self.token]
-        unseen = max(1, self.once) / (self.n + 1) if self.n else 1.0
-        self.p = np.where(self.count > 0, (1 - unseen) * self.count / max(1, self.n), unseen)
-        self.context, self.context_count = self.words[self.token], self.count
-        self.depth = 0
-
-    def _level(self, depth: int):
-        """Keys of the next words of contexts of ``depth`` words: (places, keys of the places, all keys, expected counts, (context, shards))."""
-        where = np.arange(depth, len(self.token))
-        where = where[self.owner[where - depth] == self.owner[where]]
-        before, n = self.context[where - 1], self.context_count[where - 1]
-        ok = n >= LEAST_CONTEXT
-        where, before, n = where[ok], before[ok], n[ok]
-        shards = 1 + n // max(SHARD, self.n // 50_000)
-        contexts, which = np.unique(before, return_inverse=True)
-        many = np.zeros(len(contexts), np.int64)
-        many[which] = shards
-        marks = np.repeat(contexts, many), np.concatenate([np.arange(m) for m in many]) if len(many) else np.zeros(0, int)
-        heads = self._heads(*marks)
-        word = self.words[self.token[where]]
-        keys = (self._heads(before, (word % shards.astype(np.uint64)).astype(int)) << np.uint64(WORD_BITS)) | np.maximum(word >> np.uint64(64 - WORD_BITS), np.uint64(1))
-        # The pair cannot be more frequent than its parts: what could not pass the test is not sent.
-        most = np.minimum(n, self.count[where])
-        expected = np.maximum(n * self.p[where], 1e-9)
-        known = (most >= LEAST_PAIR) & (most * (np.log(np.maximum(most, 1)) - np.log(expected)) >= DIVERGENCE)
-        return where, which, keys, known, n, heads << np.uint64(WORD_BITS), np.repeat(np.arange(len(contexts)), many)
-
-    @staticmethod
-    def _heads(contexts: np.ndarray, shard: np.ndarray) -> np.ndarray:
-        return tb.mix(contexts + shard.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(28)
-
-    def send_level(self, chunk: int, buckets: int, depth: int) -> pa.Table:
-        where, _, keys, known, n, marks, _ = self._level(depth)
-        expected = np.rint(4 * np.log2(np.maximum(n * self.p[where], 1e-9))).astype(np.int64) + 124
-        k = np.concatenate((keys[known], marks))
-        every, place = np.unique(k, return_inverse=True)
-        counts = np.bincount(place[: len(k) - len(marks)], self.training[where[known]], len(every)).astype(np.int64)
-        e = np.zeros(len(every), np.int64)
-        e[place[: len(k) - len(marks)]] = expected[known]
-        out = []
-        for b, s, t in chunked.cut(every, 36 + WORD_BITS, buckets):
-            c = chunked.planes(counts[s:t])
-            out.append((b, chunk, LEVEL + depth - 1, chunked.pack(every[s:t]), len(c).to_bytes(4, "little") + c + chunked.planes(e[s:t])))
-        return chunked.sent(out)
-
-    def hear_level(self, heard: pa.Table, depth: int) -> None:
-        where, which, keys, known, n, marks, mark_of = self._level(depth)
-        _, place = np.unique(np.concatenate((keys[known], marks)), return_inverse=True)
-        got = chunked.all_planes(chunked.gathered(heard, LEVEL + depth - 1)).astype(np.int64)[place]
-        pairs, sums = got[: len(got) - len(marks)], got[len(got) - len(marks) :]
-        count, kept = np.zeros(len(where), np.int64), np.zeros(len(where), bool)
-        count[known], kept[known] = pairs >> 1, (pairs & 1) > 0
-        kept_sum = np.bincount(mark_of, sums, (which.max() + 1) if len(which) else 0)[which] if len(which) else np.zeros(0)
-        below = self.p[where]
-        p = self.p.copy()
-        p[where] = np.where(kept, count / (n + PULL), 0.0) + (1 - np.minimum(kept_sum, n) / (n + PULL)) * below
-        self.p = p
-        # Contexts of one word more end at the same place.
-        context, context_count = np.zeros_like(self.context), np.zeros_like(self.context_count)
-        context[where] = tb.mix(self.context[where - 1] * np.uint64(3) + self.words[self.token[where]])
-        context_count[where] = count
-        self.context, self.context_count = context, context_count
-
-    def result(self) -> pa.Table:
-        add = lambda x: np.add.reduceat(x, self.at[:-1]) if len(self.ids) else np.zeros(0)
-        base = np.log10((self.count + 1) / (self.n + 1 * (self.v + 1)))
-        k = len(self.ids)
-        return pa.table({
-            "doc_id": pa.array(self.ids, pa.int64()), "held_out": pa.array(self.held, pa.bool_()), "n_tokens": pa.array(np.diff(self.at), pa.int64()),
-            "n_known": pa.array(add((self.count > 0).astype(np.int64)), pa.int64()), "train_tokens": pa.array(np.full(k, self.n), pa.int64()),
-            "base_score": pa.array(add(base), pa.float64()), "score": pa.array(add(np.log10(np.maximum(self.p, 1e-300))), pa.float64()),
-        })
+        return chunked.sent([(b, block, WORDS, chunked.pack(self.words[s:e]), chunked.planes(n[s:e])) for b, s, e in chunked.cut(self.words, 64, buckets)])
+
+    def hear_words(self, heard: pa.Table, corpus: Corpus) -> Level:
+        """The root's predictions, and the first level: all tokens but the first of each text."""
+        count, number = (np.concatenate(x) for x in zip(*[[chunked.unplanes(p).astype(np.int64) for p in parted(a)] for _, a in chunked.gathered(heard, WORDS)]))
+        self.count = count[self.token]
+        unseen = max(1, corpus.once) / (corpus.n + 1) if corpus.n else 1.0
+        self.p = np.where(self.count > 0, (1 - unseen) * self.count / max(1, corpus.n), unseen / (corpus.v + 1))
+        inner = np.ones(len(self.token), bool)
+        inner[self.at[:-1]] = False
+        pos = np.flatnonzero(inner)
+        pos = pos[self.count[pos - 1] >= corpus.least]
+        return Level(pos, number[self.token[pos - 1]], self.count[pos - 1], number[self.token[pos]], self.count[pos] >= corpus.least, self.p[pos], self.training[pos])
+
+    def documents(self, corpus: Corpus, level: Level) -> dict:
+        """What is known of each text; score leaves out the tokens that are still in ``level``."""
+        rest = np.log10(np.maximum(self.p, 1e-300))
+        rest[level.pos] = 0
+        add = lambda x: np.add.reduceat(x, self.at[:-1])
+        base = np.log10((self.count + 1) / (corpus.n + 1 * (corpus.v + 1)))
+        return {"ids": self.ids, "n_tokens": self.sizes, "n_known": add((self.count > 0).astype(np.int64)), "base": add(base), "score": add(rest)}
+
+
+@dataclass
+class Level:
+    """The tokens (places in the block, ascending) that have a context on this level."""
+
+    pos: np.ndarray
+    context: np.ndarray  # its number
+    n: np.ndarray  # its count
+    word: np.ndarray  # the token's word's number
+    able: np.ndarray  # whether context and word may be together ``least`` times
+    p: np.ndarray  # of the token by the context's suffix
+    training: np.ndarray
+
+    FIELDS = ["pos", "context", "n", "word", "able", "p", "training"]
+
+    def pack(self) -> bytes:
+        whole = [chunked.planes(getattr(self, c)) for c in self.FIELDS if c != "p"]
+        return chunked.squeezed(joined(*whole, self.p.tobytes()))
+
+    @classmethod
+    def unpack(cls, data: bytes) -> Level:
+        *whole, p = parted(chunked.opened_one(data))
+        pos, context, n, word, able, training = (chunked.unplanes(x).astype(np.int64) for x in whole)
+        return cls(pos, context, n, word, able > 0, np.frombuffer(p, np.float64), training > 0)
+
+
+class Asked:
+    """The distinct contexts of a level and their next words, in the order in which they are sent."""
+
+    def __init__(self, level: Level, corpus: Corpus):
+        self.level, self.corpus = level, corpus
+        key = paired(level.context, level.word)
+        order = np.argsort(key)
+        new = runs(level.context[order])
+        self.context, self.pair = np.empty(len(order), np.int64), np.full(len(order), -1)
+        self.context[order] = np.cumsum(new) - 1
+        first = order[new]
+        self.numbers, n = level.context[first], level.n[first]
+        order = order[level.able[order]]
+        new = runs(key[order])
+        self.pair[order] = np.cumsum(new) - 1
+        at = order[new]
+        self.word = level.word[at]
+        self.counts = np.bincount(self.pair[order], level.training[order], len(at)).astype(np.int64)
+        self.expected = np.rint(STEPS * np.log2(np.maximum(level.n[at] * level.p[at], 1e-300))).astype(np.int64) + ZERO
+        shards = 1 + n // max(corpus.shard, corpus.n // 50_000)
+        start = np.cumsum(shards) - shards
+        self.owner = np.repeat(np.arange(len(n)), shards)
+        self.shard = np.arange(len(self.owner)) - start[self.owner]
+        spread = tb.mix(self.numbers[self.owner].astype(np.uint64) * GOLDEN + self.shard.astype(np.uint64)) % np.uint64(corpus.buckets)
+        self.bucket = spread.astype(np.int64)
+        self.entry_order = np.argsort(self.bucket, kind="stable")
+        rank = np.empty_like(self.entry_order)
+        rank[self.entry_order] = np.arange(len(rank))
+        mine = self.context[at]
+        self.entry = rank[start[mine] + (tb.mix(self.word.astype(np.uint64)) % shards[mine].astype(np.uint64)).astype(np.int64)]
+        self.pair_order = np.argsort(self.entry, kind="stable")
+
+    def send(self, block: int, kind: int) -> pa.Table:
+        e, p = self.entry_order, self.pair_order
+        bucket, number, shard = self.bucket[e], self.numbers[self.owner[e]], self.shard[e]
+        many = np.bincount(self.entry, minlength=len(e))
+        word, counts, expected = self.word[p], self.counts[p], self.expected[p]
+        starts = np.flatnonzero(runs(bucket))
+        ends, upto = np.append(starts[1:], len(e)), np.concatenate(([0], np.cumsum(many)))
+        rows = []
+        for s, t in zip(starts, ends):
+            a, b = upto[s], upto[t]
+            contexts = joined(chunked.pack(number[s:t].astype(np.uint64)), chunked.planes(shard[s:t]), chunked.planes(many[s:t]))
+            rows.append((int(bucket[s]), block, kind, contexts, joined(chunked.planes(word[a:b]), chunked.planes(counts[a:b]), chunked.planes(expected[a:b]))))
+        return chunked.sent(rows)
+
+    def hear(self, answers: list[bytes]) -> Level:
+        """Update the level's predictions and give the next one: tokens whose context is a state, and the context that reaches one word further back."""
+        level, least, pull = self.level, self.corpus.least, self.corpus.pull
+        kept_sum, said, number = (np.concatenate(x) for x in zip(*[[chunked.unplanes(p).astype(np.int64) for p in parted(a)] for a in answers])) if answers else [np.zeros(0, np.int64)] * 3
+        back = np.empty_like(said)
+        back[self.pair_order] = np.arange(len(said))
+        said, number = said[back], number[back]
+        r = np.bincount(self.owner[self.entry_order], kept_sum, len(self.numbers))[self.context]
+        there = self.pair >= 0
+        mine = np.where(there, said[self.pair], 0) if len(said) else np.zeros(len(there), np.int64)
+        total, kept = mine >> 1, (mine & 1) > 0
+        level.p = np.where(kept, total / (level.n + pull), 0.0) + (1 - r / (level.n + pull)) * level.p
+        # The first token of a text is on no level, so a neighbour stands in the same text.
+        go = np.flatnonzero((level.pos[1:] == level.pos[:-1] + 1) & (total[:-1] >= least) & (r[1:] > 0)) + 1
+        number = number[self.pair[go - 1]] if len(go) else go
+        return Level(level.pos[go], number, total[go - 1], level.word[go], total[go] >= least, level.p[go], level.training[go])
 
 
 def _columns(table: pa.Table):
-    """What the chunks sent, in order of chunk: a range may be worked out more than once, and must come out alike."""
+    """What the blocks sent, in order of block: a bucket may be worked out more than once, and must come out alike."""
     table = table.sort_by([("chunk", "ascending")])
-    return table.column("bucket")[0].as_py(), table.column("chunk").to_pylist(), [chunked.unpack(k) for k in chunked.opened(table.column("keys"))], chunked.opened(table.column("extra"))
+    return table.column("bucket")[0].as_py(), table.column("chunk").to_pylist(), chunked.opened(table.column("keys")), chunked.opened(table.column("extra"))
 
 
-def _count_words(table: pa.Table) -> pa.Table:
-    """Training counts of a range of words, for each chunk that has them; and the range's share of the totals."""
-    bucket, chunks, keys, extra = _columns(table)
-    every, place = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(place, np.concatenate([chunked.unplanes(x) for x in extra]).astype(float), len(every)).astype(np.int64)
-    at = np.cumsum([0] + [len(k) for k in keys])
-    rows = [(c, bucket, ONE, chunked.planes(total[place[a:b]])) for c, a, b in zip(chunks, at, at[1:])]
-    rows += [(-1, bucket, TOTALS + k, str(int(x)).encode()) for k, x in enumerate((total.sum(), (total > 0).sum(), (total == 1).sum()))]
-    return chunked.answers(rows)
+def numbered(total: np.ndarray, bucket: int, corpus: Corpus) -> np.ndarray:
+    """Numbers no other bucket gives, small ones for frequent things; 0 for what is too rare to need one."""
+    out = np.zeros(len(total), np.int64)
+    alive = np.flatnonzero(total >= corpus.least)
+    out[alive[np.argsort(-total[alive], kind="stable")]] = np.arange(len(alive)) * corpus.buckets + bucket
+    return out
 
 
-def _grow(last: bool):
-    """The divergence test on a range of (context, next word) counts; marks get the sum that their context's shard keeps.
-
-    Counts that no one needs (not kept, and too small for a context or on the last level) are answered as 0.
-    """
+def _count_words(corpus: Corpus):
+    """Training counts and numbers of a range of words, for each block that has them; and the range's share of the totals."""
 
     def run(table: pa.Table) -> pa.Table:
-        bucket, chunks, keys, extra = _columns(table)
-        kind = table.column("kind")[0].as_py()
-        counts, expected = [], []
-        for x in extra:
-            cut = 4 + int.from_bytes(x[:4], "little")
-            counts.append(chunked.unplanes(x[4:cut]))
-            expected.append(chunked.unplanes(x[cut:]))
+        bucket, blocks, keys, extra = _columns(table)
+        keys = [chunked.unpack(k) for k in keys]
         every, place = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(place, np.concatenate(counts).astype(float), len(every)).astype(np.int64)
-        log_expected = np.zeros(len(every))
-        log_expected[place] = (np.concatenate(expected).astype(float) - 124) / 4 * np.log(2)
-        mark = (every & np.uint64((1 << WORD_BITS) - 1)) == 0
-        kept = ~mark & (total >= LEAST_PAIR) & (total * (np.log(np.maximum(total, 1)) - log_expected) >= DIVERGENCE)
-        heads = every >> np.uint64(WORD_BITS)
-        head = np.cumsum(np.append(False, heads[1:] != heads[:-1]))
-        sums = np.bincount(head, np.where(kept, total, 0)).astype(np.int64)
-        needed = kept | (not last and total >= LEAST_CONTEXT)
-        say = np.where(mark, sums[head], np.where(needed, 2 * total + kept, 0))[place]
+        total = np.bincount(place, np.concatenate([chunked.unplanes(x) for x in extra]).astype(float), len(every)).astype(np.int64)
+        number = numbered(total, bucket, corpus)
         at = np.cumsum([0] + [len(k) for k in keys])
-        return chunked.answers([(c, bucket, kind, chunked.planes(say[a:b])) for c, a, b in zip(chunks, at, at[1:])])
+        rows = [(c, bucket, WORDS, joined(chunked.planes(total[place[a:b]]), chunked.planes(number[place[a:b]]))) for c, a, b in zip(blocks, at, at[1:])]
+        sums = (total.sum(), (total > 0).sum(), (total == 1).sum())
+        return chunked.answers(rows + [(-1, bucket, TOTALS - k, str(int(x)).encode()) for k, x in enumerate(sums)])
+
+    return run
+
+
+def _grow(corpus: Corpus):
+    """Counts of the contexts' next words, the divergence test, the sum that each context keeps, and numbers for the longer contexts."""
+
+    def run(table: pa.Table) -> pa.Table:
+        bucket, blocks, keys, extra = _columns(table)
+        kind = table.column("kind")[0].as_py()
+        contexts, pairs = [parted(k) for k in keys], [parted(x) for x in extra]
+        number = np.concatenate([chunked.unpack(c[0]) for c in contexts])
+        shard, many = (np.concatenate([chunked.unplanes(c[i]) for c in contexts]) for i in (1, 2))
+        word, counts, expected = (np.concatenate([chunked.unplanes(x[i]) for x in pairs]) for i in range(3))
+        owner = np.repeat(np.arange(len(number)), many.astype(np.int64))
+        entries, entry = np.unique(paired(number, shard), return_inverse=True)
+        every, first, place = np.unique(paired(number[owner], word), return_index=True, return_inverse=True)
+        total = np.bincount(place, counts.astype(float), len(every)).astype(np.int64)
+        level = np.zeros(len(every), np.int64)
+        np.maximum.at(level, place, expected.astype(np.int64))
+        kept = (total >= corpus.least) & (total * (np.log(np.maximum(total, 1)) - (level - ZERO) / STEPS * np.log(2)) >= corpus.divergence)
+        sums = np.bincount(entry[owner[first]], np.where(kept, total, 0), len(entries)).astype(np.int64)[entry]
+        say, name = np.where(total >= corpus.least, 2 * total + kept, 0)[place], numbered(total, bucket, corpus)[place]
+        rows, e, p = [], 0, 0
+        for c, sent, got in zip(blocks, contexts, pairs):
+            n, m = len(chunked.unplanes(sent[1])), len(chunked.unplanes(got[0]))
+            rows.append((c, bucket, kind, joined(chunked.planes(sums[e : e + n]), chunked.planes(say[p : p + m]), chunked.planes(name[p : p + m]))))
+            e, p = e + n, p + m
+        return chunked.answers(rows)
 
     return run
 
 
-def _nothing() -> pa.Table:
-    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-    return pa.table([pa.array([], k) for k in kinds], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+def _state(block: int, documents: dict, level: Level) -> pa.Table:
+    of = lambda x, kind: pa.array([list(x)], pa.list_(kind))
+    columns = [pa.array([block], pa.int64())] + [of(documents[c], pa.int64()) for c in ("ids", "n_tokens", "n_known")] + [of(documents[c], pa.float64()) for c in ("base", "score")]
+    return pa.table(columns + [pa.array([len(level.pos)], pa.int64()), tb.binary_column([level.pack()])], names=["block", *DOCS, "active", "arrays"])
 
 
-RESULT = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+def _answers(heard: pa.Table, kind: int) -> list[bytes]:
+    return [a for _, a in chunked.gathered(heard, kind)]
 
 
-def score(docs: DataFrame, mod: int = 7, held: int = 2, depth: int = 2) -> DataFrame:
+def score(docs: DataFrame, mod: int = 7, held: int = 2, divergence: float = DIVERGENCE, least: int = LEAST, pull: float = PULL, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
     """Learn from the rows of ``docs`` (doc_id, text) whose crc32(doc_id) mod ``mod`` is not ``held``, and score every row.
 
     base_score is the add-one unigram score; score the tree's log10 probability. Null
-    and empty texts are the end token only. Repeated rows count each time; other columns
-    are ignored; an empty table gives an empty result, and without training rows every
-    token is unseen.
+    and empty texts are the end token only. Repeated rows count each time; a row without a
+    doc_id is scored, has a null held_out and is not learned from; other columns are ignored; an
+    empty table gives an empty result, and without training rows every token is unseen.
     """
-    n_chunks, buckets = chunked.chunk_count(docs), chunked.bucket_count(docs)
-    texts = chunked.in_chunks(docs, n_chunks)
-
-    def state(table, heard, level):
-        s = Scored(table, mod, held)
-        s.hear_words(heard)
-        for d in range(1, level):
-            s.hear_level(heard, d)
-        return s
-
-    def words(key, table):
-        return Scored(table, mod, held).send_words(key[0].as_py(), buckets)
-
-    by_chunk = texts.groupBy("chunk")
-    counts = by_chunk.applyInArrow(words, chunked.SENT).groupBy("bucket").applyInArrow(_count_words, chunked.ANSWER)
-    totals = counts.where(f"kind >= {TOTALS}").groupBy("kind").agg(F.sum(F.col("answer").cast("string").cast("decimal(38,0)")).cast("string").cast("binary").alias("answer"))
-    totals = totals.select(F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))).alias("chunk"), F.lit(-1).alias("bucket"), "kind", "answer")
-    heard = counts.where(f"kind < {TOTALS}").unionAll(totals)
-    def pairs_of(level):
-        def pairs(key, table, heard):
-            return state(table, heard, level).send_level(key[0].as_py(), buckets, level) if table.num_rows else chunked.sent([])
-
-        return pairs
-
-    for level in range(1, depth + 1):
-        sent = by_chunk.cogroup(heard.groupBy("chunk")).applyInArrow(pairs_of(level), chunked.SENT)
-        heard = heard.unionAll(sent.groupBy("bucket").applyInArrow(_grow(level == depth), chunked.ANSWER))
-
-    def final(key, table, heard):
+    buckets = chunked.bucket_count(docs, 4 << 20, 32)
+    plain = Corpus(mod, held, buckets, divergence, least, pull, shard)
+    coded = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda batches: _blocks(batches, block), TOKENS)
+    blocks = staged(coded, "blocks")
+
+    def send_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield from Block(row, plain).send_words(row["block"], buckets).to_batches()
+
+    words = blocks.mapInArrow(send_words, chunked.SENT).groupBy("bucket").applyInArrow(_count_words(plain), chunked.ANSWER)
+    words = staged(words, "words")
+    totals = words.where(f"kind <= {TOTALS}").groupBy("kind").agg(F.sum(F.col("answer").cast("string").cast("decimal(38,0)")).alias("n"))
+    found = {r["kind"]: int(r["n"]) for r in totals.collect()}  # three rows
+    corpus = replace(plain, **{name: found.get(TOTALS - k, 0) for k, name in enumerate(("n", "v", "once"))})
+
+    def replayed(table: pa.Table, heard: pa.Table, upto: int) -> tuple[Block, Level]:
+        tokens = Block(table.to_pylist()[0], corpus)
+        level = tokens.hear_words(heard, corpus)
+        for k in range(1, upto):
+            deeper = Asked(level, corpus).hear(_answers(heard, k))
+            tokens.p[level.pos] = level.p
+            level = deeper
+        return tokens, level
+
+    def asking(upto: int):
+        def run(key, table: pa.Table, heard: pa.Table) -> pa.Table:
+            if not table.num_rows:
+                return chunked.sent([])
+            return Asked(replayed(table, heard, upto)[1], corpus).send(key[0].as_py(), upto)
+
+        return run
+
+    by_block = blocks.groupBy("block")
+    heard = words.where(F.col("kind") == WORDS)
+    for k in range(1, UNROLLED + 1):
+        sent = by_block.cogroup(heard.groupBy("chunk")).applyInArrow(asking(k), chunked.SENT)
+        heard = heard.unionAll(sent.groupBy("bucket").applyInArrow(_grow(corpus), chunked.ANSWER))
+
+    def begun(key, table: pa.Table, heard: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return _nothing()
-        return state(table, heard, depth + 1).result()
-
-    return by_chunk.cogroup(heard.groupBy("chunk")).applyInArrow(final, RESULT)
+            return _state(0, {c: [] for c in DOCS}, Level(*[np.zeros(0, np.int64)] * 7)).slice(0, 0)
+        tokens, level = replayed(table, heard, UNROLLED + 1)
+        return _state(key[0].as_py(), tokens.documents(corpus, level), level)
+
+    state = staged(by_block.cogroup(heard.groupBy("chunk")).applyInArrow(begun, STATE), "tree")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield from Asked(Level.unpack(row["arrays"]), corpus).send(row["block"], 1).to_batches()
+
+    def deepened(key, table: pa.Table, heard: pa.Table) -> pa.Table:
+        row = table.to_pylist()[0]
+        level = Level.unpack(row["arrays"])
+        deeper = Asked(level, corpus).hear(_answers(heard, 1)) if row["active"] else level
+        ends, done = np.cumsum(row["n_tokens"]), ~np.isin(level.pos, deeper.pos)
+        owner = np.searchsorted(ends, level.pos[done], side="right")
+        row["score"] = np.array(row["score"]) + np.bincount(owner, np.log10(np.maximum(level.p[done], 1e-300)), len(ends))
+        return _state(row["block"], row, deeper)
+
+    while state.agg(F.coalesce(F.sum("active"), F.lit(0))).first()[0]:
+        sent = state.where("active > 0").mapInArrow(ask, chunked.SENT).groupBy("bucket").applyInArrow(_grow(corpus), chunked.ANSWER)
+        state = staged(state.groupBy("block").cogroup(sent.groupBy("chunk")).applyInArrow(deepened, STATE), "tree")
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = {c: batch.column(c).flatten() for c in DOCS}
+            held_out = pa.array(corpus.held_out(flat["ids"].to_pylist()), pa.bool_())
+            train = pa.array(np.full(len(held_out), corpus.n), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [flat["ids"], held_out, flat["n_tokens"], flat["n_known"], train, flat["base"], flat["score"]],
+                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            )
+
+    return state.mapInArrow(rows, RESULT)

@@ -6,8 +6,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
-from helpers_llm import rows_of
+from helpers_llm import prose, rows_of
 from pyspark.sql import functions as F
 
 from sievewright.llm import decision_list, langid, neighbours, quality_queries, rule_ensemble, suffix_tree, textstats
@@ -87,15 +88,87 @@ def test_lm_base_equals_brute_force(edge_docs, no_docs):
     assert suffix_tree.score(no_docs).collect() == []
 
 
-def test_lm_uses_context(spark):
-    """A phrase that repeats is predicted from its context."""
-    rows = [(k, " ".join(["alpha beta gamma"] * 5 + [f"noise{k % 17} filler{k % 13}"] * 3)) for k in range(200)]
-    got = suffix_tree.score(spark.createDataFrame(rows, "doc_id long, text string"), depth=2).collect()
-    flat = suffix_tree.score(spark.createDataFrame(rows, "doc_id long, text string"), depth=0).collect()
-    total = lambda rows, c: sum(r[c] for r in rows)
-    assert total(got, "score") > 0.7 * total(flat, "score")
-    # Where every token is known, the root and the add-one base all but agree.
-    assert abs(total(flat, "score") / total(flat, "base_score") - 1) < 0.01
+class BruteTree:
+    """The suffix tree by its definition, with dictionaries."""
+
+    def __init__(self, texts, learned, divergence=10.0, least=2, pull=1.0):
+        low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+        self.pull = pull
+        self.tokens = [re.findall(WORD, (t or "").translate(low)) + [None] for t in texts]
+        train = [ws for ws, use in zip(self.tokens, learned) if use]
+        self.c = Counter(w for ws in train for w in ws)
+        self.n, self.v = sum(self.c.values()), len(self.c)
+        once = sum(x == 1 for x in self.c.values())
+        self.unseen = max(1, once) / (self.n + 1) if self.n else 1.0
+        self.states, looked, depth, kept = {(): None}, {()}, 1, True
+        while kept:
+            grams = Counter(tuple(ws[i - depth : i + 1]) for ws in train for i in range(depth, len(ws)))
+            contexts, kept = Counter(), False
+            for g, n in grams.items():
+                contexts[g[:-1]] += n
+            looked = {s for s, n in contexts.items() if n >= least and s[1:] in self.states and s[:-1] in looked}
+            found = {}
+            for g, n in grams.items():
+                s, w = g[:-1], g[-1]
+                if s in looked and n >= least:
+                    expected = round(16 * math.log2(contexts[s] * self.p(w, s[1:]))) / 16 * math.log(2)
+                    if n * (math.log(n) - expected) >= divergence:
+                        found.setdefault(s, (contexts[s], {}))[1][w] = n
+            self.states |= found
+            kept, depth = bool(found), depth + 1
+
+    def p(self, w, s):
+        if not s:
+            return (1 - self.unseen) * self.c[w] / max(1, self.n) if self.c[w] else self.unseen / (self.v + 1)
+        n, keeps = self.states[s]
+        return keeps.get(w, 0) / (n + self.pull) + (1 - sum(keeps.values()) / (n + self.pull)) * self.p(w, s[1:])
+
+    def score(self, ws):
+        total = 0.0
+        for i, w in enumerate(ws):
+            s = ()
+            while len(s) < i and tuple(ws[i - len(s) - 1 : i]) in self.states:
+                s = tuple(ws[i - len(s) - 1 : i])
+            total += math.log10(self.p(w, s))
+        return total
+
+
+def learned(i):
+    return zlib.crc32(str(i).encode()) % 7 != 2
+
+
+@pytest.mark.parametrize("block, shard", [(1 << 20, 4096), (300, 3)])
+def test_lm_score_equals_a_brute_force_tree(spark, edge_docs, block, shard):
+    """Small blocks and shards: contexts of many shards meet the same counts."""
+    phrases = ["alpha beta gamma delta epsilon", "the cat sat on the mat", "beta gamma zeta", "on the way to the mat"]
+    rows = [(k, " ".join(phrases[(k * 7 + j * j) % 4] + f" n{(k * j) % 23}" for j in range(12))) for k in range(100, 160)]
+    rows += [(i, t) for i, t in rows_of(edge_docs) if i != 6]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    tree = BruteTree([t for _, t in rows], [learned(i) for i, _ in rows])
+    assert max(map(len, tree.states)) >= 3
+    want = sorted((i, round(tree.score(ws), 6)) for (i, _), ws in zip(rows, tree.tokens))
+    got = sorted((r["doc_id"], round(r["score"], 6)) for r in suffix_tree.score(docs, block=block, shard=shard).collect())
+    assert got == want
+    for s in list(tree.states)[:: max(1, len(tree.states) // 50)]:
+        assert abs(sum(tree.p(w, s) for w in tree.c) + (tree.v + 1) * tree.p("a word that is not there", s) - 1) < 1e-9
+
+
+def test_lm_prefers_prose_and_copies_to_gibberish(spark):
+    text = lambda k: " ".join(f"{w}{(k * 37 + j * j * 11) % 40}" for j, w in enumerate(prose(k, 150).split(" ")))
+    rows = [(k, text(k)) for k in range(200)] + [(1000, text(3)), (1001, text(9999))]
+    assert learned(3) and learned(1000) and learned(4)
+    gibberish = " ".join("".join(chr(97 + (k * k * 31 + j * 17 + k) % 26) for j in range(8)) + str(k) for k in range(150))
+    held = next(i for i in range(5000, 6000) if not learned(i))
+    rows += [(held, gibberish), (held + 10**6, None)]
+    got = {r["doc_id"]: r for r in suffix_tree.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[held]["score"] < 1.5 * got[1001]["score"] and got[held]["n_known"] == 1
+    assert got[3]["score"] > 0.6 * got[4]["score"]
+
+
+def test_lm_rows_without_id_are_scored_and_not_learned_from(spark):
+    rows = [(k, "one two three four") for k in range(20)] + [(None, "never seen words"), (None, None)]
+    got = suffix_tree.score(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id is null").collect()
+    assert sorted((r["held_out"], r["n_tokens"], r["n_known"]) for r in got) == [(None, 1, 1), (None, 4, 1)]
 
 
 def brute_counts(t):
@@ -147,16 +220,18 @@ def test_quality_queries_on_edges(spark, edge_docs, no_docs, tmp_path, query):
     assert quality_queries.QUERIES[query](spark, f"{tmp_path}/none").collect() == []
 
 
-def test_ranges_do_not_depend_on_the_order_of_their_rows():
-    """Two words that share a key bring different expectations; the answers are the same whichever chunk comes first."""
-    from sievewright.llm import chunked
+def test_buckets_do_not_depend_on_the_order_of_their_rows():
+    """Blocks that ask for the same contexts get the same answers whichever comes first."""
+    corpus = suffix_tree.Corpus(7, 2, 4, n=1000)
 
-    keys = np.array([5 << 20, (5 << 20) + 1, (5 << 20) + 9], np.uint64)
+    def rows(block, counts):
+        n = len(counts)
+        level = suffix_tree.Level(np.arange(n), np.array([5, 5, 9]), np.full(n, 40), np.array([1, 2, 1]), np.ones(n, bool), np.full(n, 0.01), np.array(counts) > 0)
+        return suffix_tree.Asked(level, corpus).send(block, 1).to_pylist()
 
-    def row(chunk, counts, expected):
-        c = chunked.planes(np.array(counts))
-        return (0, chunk, suffix_tree.LEVEL, chunked.pack(keys), len(c).to_bytes(4, "little") + c + chunked.planes(np.array(expected)))
-
-    rows = [row(0, [0, 9, 4], [0, 100, 120]), row(1, [0, 9, 4], [0, 160, 120]), row(2, [0, 1, 0], [0, 131, 90])]
-    said = [sorted(zip(t.column("chunk").to_pylist(), t.column("answer").to_pylist())) for t in (suffix_tree._grow(False)(chunked.sent(r)) for r in (rows, rows[::-1], [rows[1], rows[2], rows[0]]))]
-    assert said[0] == said[1] == said[2]
+    sent = rows(0, [1, 1, 0]) + rows(1, [1, 0, 1]) + rows(2, [0, 1, 1])
+    for b in {r["bucket"] for r in sent}:
+        mine = [r for r in sent if r["bucket"] == b]
+        schema = suffix_tree.chunked.sent([]).schema
+        said = [sorted(map(str, suffix_tree._grow(corpus)(pa.Table.from_pylist(x, schema)).to_pylist())) for x in (mine, mine[::-1], mine[1:] + mine[:1])]
+        assert said[0] == said[1] == said[2]
