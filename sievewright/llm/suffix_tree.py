@@ -9,7 +9,7 @@ the suffix s' predicts,
 
     c(s,w) >= least and c(s,w) * log(c(s,w) / (c(s) * P(w|s'))) >= divergence,
 
-(the expectation's binary logarithm rounded to 1/16) and is a state if it keeps any. What it
+(the expectation's binary logarithm rounded to 1/8) and is a state if it keeps any. What it
 does not keep is predicted by its suffix; with R(s) the count of the words it keeps,
 
     P(w|s) = [w kept] c(s,w) / (c(s) + pull) + (1 - R(s) / (c(s) + pull)) * P(w|s'),
@@ -17,8 +17,8 @@ does not keep is predicted by its suffix; with R(s) the count of the words it ke
 which adds up to one. The tree deepens until no context keeps anything; a token is
 predicted by the longest suffix of what stands before it that is a state.
 
-No part of the tree is broadcast or collected. Texts are coded once into blocks of tokens;
-each level is one exchange between blocks and buckets of contexts. Words and contexts have
+No part of the tree is broadcast or collected. Texts are coded into blocks of tokens; each
+level is one exchange between blocks and buckets of contexts. Words and contexts have
 numbers that their bucket gives them, so counts are exact (words are told apart by 64 bits
 of hash). A frequent context is dealt into shards of its next words, so that it never
 meets in one task. The first ``UNROLLED`` levels, which most tokens reach, are one job over one
@@ -43,12 +43,12 @@ from sievewright.llm import textbytes as tb
 from sievewright.llm.staging import staged
 
 DIVERGENCE, LEAST, PULL = 10.0, 2, 1.0
-BLOCK, SHARD, UNROLLED = 1 << 20, 4096, 3
-WORDS, TOTALS = 0, -1  # kinds of answers: of the root, and three totals from -1 down; the others are levels
+BLOCK, SHARD, UNROLLED = 1 << 20, 4096, 4
+WORDS = 0  # the kind of the root's answers; the others are levels
 END = np.uint64(0x5851F42D4C957F2D)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-STEPS, ZERO = 16, 1 << 14  # of the expectation's logarithm, and what stands for 0
-TOKENS = "block bigint, ids array<bigint>, sizes array<bigint>, words binary, tokens binary"
+STEPS, ZERO = 8, 1 << 13  # of the expectation's logarithm, and what stands for 0
+TOKENS = "block bigint, ids array<bigint>, sizes array<bigint>, words binary, classes binary, tokens binary"
 DOCS = ["ids", "n_tokens", "n_known", "base", "score"]
 STATE = "block bigint, ids array<bigint>, n_tokens array<bigint>, n_known array<bigint>, base array<double>, score array<double>, active bigint, arrays binary"
 RESULT = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
@@ -103,19 +103,29 @@ def paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a.astype(np.uint64) << np.uint64(bits)) | b.astype(np.uint64)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """The tokens of the texts in blocks of about ``most``, coded by the words of their block."""
-    place, seq = TaskContext.get().partitionId(), 0
+def sorted_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs' order (stable) and their numbers in it; the place rides along in the same 64 bits where it fits, which sorts fastest."""
+    key, bits = paired(a, b), np.uint64(max(1, len(a) - 1).bit_length())
+    if len(key) and int(key.max()).bit_length() + int(bits) <= 64:
+        whole = np.sort((key << bits) | np.arange(len(key), dtype=np.uint64))
+        return (whole & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64), whole >> bits
+    order = np.argsort(key, kind="stable")
+    return order, key[order]
+
+
+def local(values: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values (all under ``size``) and each one's place among them, without sorting."""
+    there = np.zeros(size, bool)
+    there[values] = True
+    return np.flatnonzero(there), (np.cumsum(there) - 1)[values]
+
+
+def _tokens(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """Blocks of about ``most`` tokens: the doc_ids, numbers of tokens and hashes of whole texts."""
     held: list[tuple[list, np.ndarray, np.ndarray]] = []
-    size = 0
 
-    def block() -> pa.RecordBatch:
-        ids = [i for x, _, _ in held for i in x]
-        sizes = np.concatenate([x for _, x, _ in held])
-        words, token = np.unique(np.concatenate([x for _, _, x in held]), return_inverse=True)
-        columns = [pa.array([(place << 32) + seq]), pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64()))]
-        columns += [tb.binary_column([chunked.squeezed(x)]) for x in (chunked.pack(words), chunked.planes(token))]
-        return pa.RecordBatch.from_arrays(columns, ["block", "ids", "sizes", "words", "tokens"])
+    def block() -> tuple[list, np.ndarray, np.ndarray]:
+        return [i for x, _, _ in held for i in x], np.concatenate([x for _, x, _ in held]), np.concatenate([x for _, _, x in held])
 
     for batch in batches:
         data, offsets = tb.buffers(batch.column("text"))
@@ -123,72 +133,95 @@ def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
         for i, j in tb.slices(offsets):
             _, _, h, first = tb.words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
             held.append((ids[i:j], np.diff(first) + 1, np.insert(h, first[1:], END)))
-            size += len(held[-1][2])
-            if size >= most:
+            if sum(len(x) for _, _, x in held) >= most:
                 yield block()
-                held, size, seq = [], 0, seq + 1
+                held = []
     if held:
         yield block()
 
 
+def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Blocks coded by their own words, the frequent ones with small codes: sorted by the bits of their count, then by hash."""
+    place = TaskContext.get().partitionId()
+    for seq, (ids, sizes, tokens) in enumerate(_tokens(batches, most)):
+        words, token, counts = np.unique(tokens, return_inverse=True, return_counts=True)
+        classes = 64 - np.floor(np.log2(counts)).astype(np.int64)
+        code = np.empty(len(words), np.int64)
+        code[np.argsort(classes, kind="stable")] = np.arange(len(words))
+        columns = [pa.array([(place << 32) + seq]), pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64()))]
+        columns += [tb.binary_column([chunked.squeezed(x)]) for x in (chunked.pack(words), chunked.planes(classes), chunked.planes(code[token]))]
+        yield pa.RecordBatch.from_arrays(columns, ["block", "ids", "sizes", "words", "classes", "tokens"])
+
+
 class Block:
     """A block's tokens."""
 
     def __init__(self, row: dict, corpus: Corpus):
         self.ids, self.sizes = row["ids"], np.array(row["sizes"], np.int64)
-        self.words, self.token = (f(chunked.opened_one(row[c])) for f, c in ((chunked.unpack, "words"), (chunked.unplanes, "tokens")))
-        self.token = self.token.astype(np.int64)
+        self.words, classes, self.token = (f(chunked.opened_one(row[c])) for f, c in ((chunked.unpack, "words"), (chunked.unplanes, "classes"), (chunked.unplanes, "tokens")))
+        self.token = self.token.astype(np.int32)
+        self.sorted_code = np.argsort(classes.astype(np.uint8), kind="stable")  # the word of each code
         self.at = np.concatenate(([0], np.cumsum(self.sizes)))
         self.training = np.repeat(corpus.learned(self.ids), self.sizes)
 
     def send_words(self, block: int, buckets: int) -> pa.Table:
-        n = np.bincount(self.token, self.training, len(self.words)).astype(np.int64)
+        n = np.empty(len(self.words), np.int64)
+        n[self.sorted_code] = np.bincount(self.token[self.training], minlength=len(self.words))
         return chunked.sent([(b, block, WORDS, chunked.pack(self.words[s:e]), chunked.planes(n[s:e])) for b, s, e in chunked.cut(self.words, 64, buckets)])
 
     def hear_words(self, heard: pa.Table, corpus: Corpus) -> Level:
         """The root's predictions, and the first level: all tokens but the first of each text."""
-        count, number = (np.concatenate(x) for x in zip(*[[chunked.unplanes(p).astype(np.int64) for p in parted(a)] for _, a in chunked.gathered(heard, WORDS)]))
-        self.count = count[self.token]
+        said = [[chunked.unplanes(p).astype(np.int64) for p in parted(a)] for _, a in chunked.gathered(heard, WORDS)]
+        count, number = np.concatenate([x for x, _ in said]), np.zeros(len(self.words), np.int64)
+        number[count >= corpus.least] = np.concatenate([x for _, x in said])
+        self.word_count, number = count[self.sorted_code], number[self.sorted_code]
         unseen = max(1, corpus.once) / (corpus.n + 1) if corpus.n else 1.0
-        self.p = np.where(self.count > 0, (1 - unseen) * self.count / max(1, corpus.n), unseen / (corpus.v + 1))
-        inner = np.ones(len(self.token), bool)
+        self.p = np.where(self.word_count > 0, (1 - unseen) * self.word_count / max(1, corpus.n), unseen / (corpus.v + 1))[self.token]
+        frequent = (self.word_count >= corpus.least)[self.token]
+        inner = np.append(False, frequent[:-1])
         inner[self.at[:-1]] = False
         pos = np.flatnonzero(inner)
-        pos = pos[self.count[pos - 1] >= corpus.least]
-        return Level(pos, number[self.token[pos - 1]], self.count[pos - 1], number[self.token[pos]], self.count[pos] >= corpus.least, self.p[pos], self.training[pos])
+        return Level(pos, self.token[pos - 1], number, self.word_count, self.token[pos], number, frequent[pos], self.p[pos], self.training[pos])
 
     def documents(self, corpus: Corpus, level: Level) -> dict:
         """What is known of each text; score leaves out the tokens that are still in ``level``."""
         rest = np.log10(np.maximum(self.p, 1e-300))
         rest[level.pos] = 0
         add = lambda x: np.add.reduceat(x, self.at[:-1])
-        base = np.log10((self.count + 1) / (corpus.n + 1 * (corpus.v + 1)))
-        return {"ids": self.ids, "n_tokens": self.sizes, "n_known": add((self.count > 0).astype(np.int64)), "base": add(base), "score": add(rest)}
+        base = np.log10((self.word_count + 1) / (corpus.n + 1 * (corpus.v + 1)))[self.token]
+        return {"ids": self.ids, "n_tokens": self.sizes, "n_known": add((self.word_count > 0).astype(np.int64)[self.token]), "base": add(base), "score": add(rest)}
 
 
 @dataclass
 class Level:
-    """The tokens (places in the block, ascending) that have a context on this level."""
+    """The tokens (places in the block, ascending) that have a context on this level; contexts and words by their places in tables of the block."""
 
     pos: np.ndarray
-    context: np.ndarray  # its number
-    n: np.ndarray  # its count
-    word: np.ndarray  # the token's word's number
+    context: np.ndarray
+    contexts: np.ndarray  # the contexts' numbers
+    n: np.ndarray  # the contexts' counts
+    word: np.ndarray
+    words: np.ndarray  # the words' numbers
     able: np.ndarray  # whether context and word may be together ``least`` times
     p: np.ndarray  # of the token by the context's suffix
     training: np.ndarray
 
-    FIELDS = ["pos", "context", "n", "word", "able", "p", "training"]
-
     def pack(self) -> bytes:
-        whole = [chunked.planes(getattr(self, c)) for c in self.FIELDS if c != "p"]
-        return chunked.squeezed(joined(*whole, self.p.tobytes()))
+        contexts, context = local(self.context, len(self.contexts))
+        words, word = local(self.word, len(self.words))
+        steps = np.diff(self.pos, prepend=0)
+        whole = (steps, context, self.contexts[contexts], self.n[contexts], word, self.words[words], self.able, self.training)
+        return chunked.squeezed(joined(*[chunked.planes(x) for x in whole], self.p.tobytes()))
 
     @classmethod
     def unpack(cls, data: bytes) -> Level:
         *whole, p = parted(chunked.opened_one(data))
-        pos, context, n, word, able, training = (chunked.unplanes(x).astype(np.int64) for x in whole)
-        return cls(pos, context, n, word, able > 0, np.frombuffer(p, np.float64), training > 0)
+        steps, context, contexts, n, word, words, able, training = (chunked.unplanes(x).astype(np.int64) for x in whole)
+        return cls(np.cumsum(steps), context, contexts, n, word, words, able > 0, np.frombuffer(p, np.float64), training > 0)
+
+    @classmethod
+    def nothing(cls) -> Level:
+        return cls(*[np.zeros(0, np.int64)] * 9)
 
 
 class Asked:
@@ -196,63 +229,68 @@ class Asked:
 
     def __init__(self, level: Level, corpus: Corpus):
         self.level, self.corpus = level, corpus
-        key = paired(level.context, level.word)
-        order = np.argsort(key)
-        new = runs(level.context[order])
-        self.context, self.pair = np.empty(len(order), np.int64), np.full(len(order), -1)
-        self.context[order] = np.cumsum(new) - 1
-        first = order[new]
-        self.numbers, n = level.context[first], level.n[first]
-        order = order[level.able[order]]
-        new = runs(key[order])
+        there, self.context = local(level.context, len(level.contexts))
+        by_number = np.argsort(level.contexts[there])
+        back = np.empty_like(by_number)
+        back[by_number] = np.arange(len(back))
+        there, self.context = there[by_number], back[self.context]
+        self.numbers, n = level.contexts[there], level.n[there]
+        able = np.flatnonzero(level.able)
+        order, keys = sorted_pairs(self.context[able], level.word[able])
+        order, new = able[order], runs(keys)
+        self.pair = np.full(len(level.pos), -1)
         self.pair[order] = np.cumsum(new) - 1
         at = order[new]
-        self.word = level.word[at]
-        self.counts = np.bincount(self.pair[order], level.training[order], len(at)).astype(np.int64)
-        self.expected = np.rint(STEPS * np.log2(np.maximum(level.n[at] * level.p[at], 1e-300))).astype(np.int64) + ZERO
+        self.word = level.words[level.word[at]]
+        self.counts = np.bincount(self.pair[able], level.training[able], len(at)).astype(np.int64)
+        self.expected = np.rint(STEPS * np.log2(np.maximum(level.n[level.context[at]] * level.p[at], 1e-300))).astype(np.int64) + ZERO
         shards = 1 + n // max(corpus.shard, corpus.n // 50_000)
         start = np.cumsum(shards) - shards
         self.owner = np.repeat(np.arange(len(n)), shards)
         self.shard = np.arange(len(self.owner)) - start[self.owner]
         spread = tb.mix(self.numbers[self.owner].astype(np.uint64) * GOLDEN + self.shard.astype(np.uint64)) % np.uint64(corpus.buckets)
         self.bucket = spread.astype(np.int64)
-        self.entry_order = np.argsort(self.bucket, kind="stable")
+        self.entry_order = np.argsort(self.bucket.astype(np.uint16) if corpus.buckets < 1 << 16 else self.bucket, kind="stable")
         rank = np.empty_like(self.entry_order)
         rank[self.entry_order] = np.arange(len(rank))
         mine = self.context[at]
         self.entry = rank[start[mine] + (tb.mix(self.word.astype(np.uint64)) % shards[mine].astype(np.uint64)).astype(np.int64)]
-        self.pair_order = np.argsort(self.entry, kind="stable")
+        self.pair_order = sorted_pairs(self.entry, self.word)[0]
 
     def send(self, block: int, kind: int) -> pa.Table:
         e, p = self.entry_order, self.pair_order
         bucket, number, shard = self.bucket[e], self.numbers[self.owner[e]], self.shard[e]
         many = np.bincount(self.entry, minlength=len(e))
         word, counts, expected = self.word[p], self.counts[p], self.expected[p]
+        steps = np.diff(word, prepend=0)
+        upto = np.concatenate(([0], np.cumsum(many)))
+        first = upto[:-1][many > 0]
+        steps[first] = word[first]
         starts = np.flatnonzero(runs(bucket))
-        ends, upto = np.append(starts[1:], len(e)), np.concatenate(([0], np.cumsum(many)))
         rows = []
-        for s, t in zip(starts, ends):
+        for s, t in zip(starts, np.append(starts[1:], len(e))):
             a, b = upto[s], upto[t]
             contexts = joined(chunked.pack(number[s:t].astype(np.uint64)), chunked.planes(shard[s:t]), chunked.planes(many[s:t]))
-            rows.append((int(bucket[s]), block, kind, contexts, joined(chunked.planes(word[a:b]), chunked.planes(counts[a:b]), chunked.planes(expected[a:b]))))
+            rows.append((int(bucket[s]), block, kind, contexts, joined(chunked.planes(steps[a:b]), chunked.planes(counts[a:b]), chunked.planes(expected[a:b]))))
         return chunked.sent(rows)
 
     def hear(self, answers: list[bytes]) -> Level:
         """Update the level's predictions and give the next one: tokens whose context is a state, and the context that reaches one word further back."""
         level, least, pull = self.level, self.corpus.least, self.corpus.pull
-        kept_sum, said, number = (np.concatenate(x) for x in zip(*[[chunked.unplanes(p).astype(np.int64) for p in parted(a)] for a in answers])) if answers else [np.zeros(0, np.int64)] * 3
-        back = np.empty_like(said)
-        back[self.pair_order] = np.arange(len(said))
-        said, number = said[back], number[back]
+        if not answers:
+            return Level.nothing()
+        kept_sum, said, number = (np.concatenate(x) for x in zip(*[[chunked.unplanes(p).astype(np.int64) for p in parted(a)] for a in answers]))
         r = np.bincount(self.owner[self.entry_order], kept_sum, len(self.numbers))[self.context]
-        there = self.pair >= 0
-        mine = np.where(there, said[self.pair], 0) if len(said) else np.zeros(len(there), np.int64)
+        says, numbers = np.zeros(len(said) + 1, np.int64), np.zeros(len(said) + 1, np.int64)  # the last place is that of tokens that asked for no pair
+        says[self.pair_order] = said
+        numbers[self.pair_order[said > 0]] = number
+        mine = says[self.pair]
         total, kept = mine >> 1, (mine & 1) > 0
-        level.p = np.where(kept, total / (level.n + pull), 0.0) + (1 - r / (level.n + pull)) * level.p
+        n = level.n[level.context]
+        level.p = np.where(kept, total / (n + pull), 0.0) + (1 - r / (n + pull)) * level.p
         # The first token of a text is on no level, so a neighbour stands in the same text.
         go = np.flatnonzero((level.pos[1:] == level.pos[:-1] + 1) & (total[:-1] >= least) & (r[1:] > 0)) + 1
-        number = number[self.pair[go - 1]] if len(go) else go
-        return Level(level.pos[go], number, total[go - 1], level.word[go], total[go] >= least, level.p[go], level.training[go])
+        return Level(level.pos[go], self.pair[go - 1], numbers, says >> 1, level.word[go], level.words, total[go] >= least, level.p[go], level.training[go])
 
 
 def _columns(table: pa.Table):
@@ -262,7 +300,7 @@ def _columns(table: pa.Table):
 
 
 def numbered(total: np.ndarray, bucket: int, corpus: Corpus) -> np.ndarray:
-    """Numbers no other bucket gives, small ones for frequent things; 0 for what is too rare to need one."""
+    """Numbers that no other bucket gives, small ones for frequent things; 0 for what is too rare to need one."""
     out = np.zeros(len(total), np.int64)
     alive = np.flatnonzero(total >= corpus.least)
     out[alive[np.argsort(-total[alive], kind="stable")]] = np.arange(len(alive)) * corpus.buckets + bucket
@@ -270,46 +308,65 @@ def numbered(total: np.ndarray, bucket: int, corpus: Corpus) -> np.ndarray:
 
 
 def _count_words(corpus: Corpus):
-    """Training counts and numbers of a range of words, for each block that has them; and the range's share of the totals."""
+    """Training counts of a range of words, and numbers of those that need one, for each block that has them."""
 
     def run(table: pa.Table) -> pa.Table:
         bucket, blocks, keys, extra = _columns(table)
         keys = [chunked.unpack(k) for k in keys]
         every, place = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(place, np.concatenate([chunked.unplanes(x) for x in extra]).astype(float), len(every)).astype(np.int64)
-        number = numbered(total, bucket, corpus)
-        at = np.cumsum([0] + [len(k) for k in keys])
-        rows = [(c, bucket, WORDS, joined(chunked.planes(total[place[a:b]]), chunked.planes(number[place[a:b]]))) for c, a, b in zip(blocks, at, at[1:])]
-        sums = (total.sum(), (total > 0).sum(), (total == 1).sum())
-        return chunked.answers(rows + [(-1, bucket, TOTALS - k, str(int(x)).encode()) for k, x in enumerate(sums)])
+        number, total = numbered(total, bucket, corpus)[place], total[place]
+        rows, at = [], np.cumsum([0] + [len(k) for k in keys])
+        for c, a, b in zip(blocks, at, at[1:]):
+            n = total[a:b]
+            rows.append((c, bucket, WORDS, joined(chunked.planes(n), chunked.planes(number[a:b][n >= corpus.least]))))
+        return chunked.answers(rows)
 
     return run
 
 
+def _sum_words(table: pa.Table) -> pa.Table:
+    """Of a range of words: training tokens, words, and words that occur once."""
+    _, _, keys, extra = _columns(table)
+    every, place = np.unique(np.concatenate([chunked.unpack(k) for k in keys]), return_inverse=True)
+    total = np.bincount(place, np.concatenate([chunked.unplanes(x) for x in extra]).astype(float), len(every)).astype(np.int64)
+    return pa.table({"n": [int(total.sum())], "v": [int((total > 0).sum())], "once": [int((total == 1).sum())]})
+
+
 def _grow(corpus: Corpus):
     """Counts of the contexts' next words, the divergence test, the sum that each context keeps, and numbers for the longer contexts."""
 
+    def words_of(steps: np.ndarray, many: np.ndarray) -> np.ndarray:
+        """Words of each context from their differences."""
+        upto = np.cumsum(steps)
+        first = (np.cumsum(many) - many)[many > 0].astype(np.int64)
+        return upto - np.repeat(upto[first] - steps[first], many[many > 0].astype(np.int64)) if len(steps) else steps
+
     def run(table: pa.Table) -> pa.Table:
         bucket, blocks, keys, extra = _columns(table)
         kind = table.column("kind")[0].as_py()
         contexts, pairs = [parted(k) for k in keys], [parted(x) for x in extra]
-        number = np.concatenate([chunked.unpack(c[0]) for c in contexts])
+        numbers, words = [chunked.unpack(c[0]) for c in contexts], [chunked.unplanes(x[0]) for x in pairs]
         shard, many = (np.concatenate([chunked.unplanes(c[i]) for c in contexts]) for i in (1, 2))
-        word, counts, expected = (np.concatenate([chunked.unplanes(x[i]) for x in pairs]) for i in range(3))
+        counts, expected = (np.concatenate([chunked.unplanes(x[i]) for x in pairs]) for i in (1, 2))
+        number, word = np.concatenate(numbers), words_of(np.concatenate(words), many)
         owner = np.repeat(np.arange(len(number)), many.astype(np.int64))
         entries, entry = np.unique(paired(number, shard), return_inverse=True)
-        every, first, place = np.unique(paired(number[owner], word), return_index=True, return_inverse=True)
-        total = np.bincount(place, counts.astype(float), len(every)).astype(np.int64)
-        level = np.zeros(len(every), np.int64)
-        np.maximum.at(level, place, expected.astype(np.int64))
+        order, sorted_keys = sorted_pairs(number[owner], word)
+        new = runs(sorted_keys)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.cumsum(new) - 1
+        first = order[new]
+        total = np.bincount(place, counts.astype(float), len(first)).astype(np.int64)
+        level = np.maximum.reduceat(expected[order], np.flatnonzero(new)).astype(np.int64) if len(first) else total
         kept = (total >= corpus.least) & (total * (np.log(np.maximum(total, 1)) - (level - ZERO) / STEPS * np.log(2)) >= corpus.divergence)
         sums = np.bincount(entry[owner[first]], np.where(kept, total, 0), len(entries)).astype(np.int64)[entry]
         say, name = np.where(total >= corpus.least, 2 * total + kept, 0)[place], numbered(total, bucket, corpus)[place]
         rows, e, p = [], 0, 0
-        for c, sent, got in zip(blocks, contexts, pairs):
-            n, m = len(chunked.unplanes(sent[1])), len(chunked.unplanes(got[0]))
-            rows.append((c, bucket, kind, joined(chunked.planes(sums[e : e + n]), chunked.planes(say[p : p + m]), chunked.planes(name[p : p + m]))))
-            e, p = e + n, p + m
+        for c, mine, own in zip(blocks, numbers, words):
+            n, m = e + len(mine), p + len(own)
+            rows.append((c, bucket, kind, joined(chunked.planes(sums[e:n]), chunked.planes(say[p:m]), chunked.planes(name[p:m][say[p:m] > 0]))))
+            e, p = n, m
         return chunked.answers(rows)
 
     return run
@@ -333,21 +390,23 @@ def score(docs: DataFrame, mod: int = 7, held: int = 2, divergence: float = DIVE
     doc_id is scored, has a null held_out and is not learned from; other columns are ignored; an
     empty table gives an empty result, and without training rows every token is unseen.
     """
-    buckets = chunked.bucket_count(docs, 4 << 20, 32)
+    buckets, tasks = chunked.bucket_count(docs, 4 << 20, 32), chunked.bucket_count(docs, 6 << 20, 16)
     plain = Corpus(mod, held, buckets, divergence, least, pull, shard)
-    coded = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda batches: _blocks(batches, block), TOKENS)
-    blocks = staged(coded, "blocks")
+    # In a fixed order, blocks come out alike however often a task runs.
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").sortWithinPartitions("doc_id", "text")
 
-    def send_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                yield from Block(row, plain).send_words(row["block"], buckets).to_batches()
+    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k, (ids, sizes, tokens) in enumerate(_tokens(batches, 4 * block)):
+            words, n = np.unique(tokens[np.repeat(plain.learned(ids), sizes)], return_counts=True)
+            yield from chunked.sent([(b, k, WORDS, chunked.pack(words[s:e]), chunked.planes(n[s:e])) for b, s, e in chunked.cut(words, 64, buckets)]).to_batches()
 
-    words = blocks.mapInArrow(send_words, chunked.SENT).groupBy("bucket").applyInArrow(_count_words(plain), chunked.ANSWER)
-    words = staged(words, "words")
-    totals = words.where(f"kind <= {TOTALS}").groupBy("kind").agg(F.sum(F.col("answer").cast("string").cast("decimal(38,0)")).alias("n"))
-    found = {r["kind"]: int(r["n"]) for r in totals.collect()}  # three rows
-    corpus = replace(plain, **{name: found.get(TOTALS - k, 0) for k, name in enumerate(("n", "v", "once"))})
+    sums = texts.mapInArrow(count_words, chunked.SENT).groupBy("bucket").applyInArrow(_sum_words, "n bigint, v bigint, once bigint")
+    found = sums.agg(*[F.coalesce(F.sum(F.col(c).cast("decimal(38,0)")), F.lit(0)).alias(c) for c in ("n", "v", "once")]).first()
+    corpus = replace(plain, **{c: int(found[c]) for c in ("n", "v", "once")})
+    by_block = texts.mapInArrow(lambda batches: _blocks(batches, block), TOKENS).repartition(tasks, "block").groupBy("block")
+
+    def words(key, table):
+        return Block(table.to_pylist()[0], corpus).send_words(key[0].as_py(), buckets)
 
     def replayed(table: pa.Table, heard: pa.Table, upto: int) -> tuple[Block, Level]:
         tokens = Block(table.to_pylist()[0], corpus)
@@ -359,22 +418,25 @@ def score(docs: DataFrame, mod: int = 7, held: int = 2, divergence: float = DIVE
         return tokens, level
 
     def asking(upto: int):
-        def run(key, table: pa.Table, heard: pa.Table) -> pa.Table:
+        def run(key, table, heard):
             if not table.num_rows:
                 return chunked.sent([])
             return Asked(replayed(table, heard, upto)[1], corpus).send(key[0].as_py(), upto)
 
         return run
 
-    by_block = blocks.groupBy("block")
-    heard = words.where(F.col("kind") == WORDS)
+    def told(sent: DataFrame, answer) -> DataFrame:
+        """Answers dealt by block: the cogroups that read them find them there, and none is sent twice."""
+        return sent.groupBy("bucket").applyInArrow(answer, chunked.ANSWER).repartition(tasks, "chunk")
+
+    heard = told(by_block.applyInArrow(words, chunked.SENT), _count_words(corpus))
     for k in range(1, UNROLLED + 1):
         sent = by_block.cogroup(heard.groupBy("chunk")).applyInArrow(asking(k), chunked.SENT)
-        heard = heard.unionAll(sent.groupBy("bucket").applyInArrow(_grow(corpus), chunked.ANSWER))
+        heard = heard.unionAll(told(sent, _grow(corpus)))
 
-    def begun(key, table: pa.Table, heard: pa.Table) -> pa.Table:
+    def begun(key, table, heard):
         if not table.num_rows:
-            return _state(0, {c: [] for c in DOCS}, Level(*[np.zeros(0, np.int64)] * 7)).slice(0, 0)
+            return _state(0, {c: [] for c in DOCS}, Level.nothing()).slice(0, 0)
         tokens, level = replayed(table, heard, UNROLLED + 1)
         return _state(key[0].as_py(), tokens.documents(corpus, level), level)
 
@@ -385,7 +447,7 @@ def score(docs: DataFrame, mod: int = 7, held: int = 2, divergence: float = DIVE
             for row in batch.to_pylist():
                 yield from Asked(Level.unpack(row["arrays"]), corpus).send(row["block"], 1).to_batches()
 
-    def deepened(key, table: pa.Table, heard: pa.Table) -> pa.Table:
+    def deepened(key, table, heard):
         row = table.to_pylist()[0]
         level = Level.unpack(row["arrays"])
         deeper = Asked(level, corpus).hear(_answers(heard, 1)) if row["active"] else level
