@@ -14,8 +14,8 @@ does not keep is predicted by its suffix; with R(s) the count of the words it ke
 
     P(w|s) = [w kept] c(s,w) / (c(s) + pull) + (1 - R(s) / (c(s) + pull)) * P(w|s'),
 
-which adds up to one. The tree deepens until no context keeps anything; a token is
-predicted by the longest suffix of what stands before it that is a state.
+which adds up to one. The tree deepens until no context keeps anything, or to ``depth``
+words; a token is predicted by the longest suffix of what stands before it that is a state.
 
 No part of the tree is broadcast or collected. Texts are coded into blocks of tokens; each
 level is one exchange between blocks and buckets of contexts. Words and contexts have
@@ -43,7 +43,7 @@ from sievewright.llm import textbytes as tb
 from sievewright.llm.staging import staged
 
 DIVERGENCE, LEAST, PULL = 10.0, 2, 1.0
-BLOCK, SHARD, UNROLLED = 1 << 20, 4096, 4
+BLOCK, SHARD, UNROLLED, DEPTH = 1 << 20, 4096, 3, 8
 WORDS = 0  # the kind of the root's answers; the others are levels
 END = np.uint64(0x5851F42D4C957F2D)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -120,6 +120,21 @@ def local(values: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(there), (np.cumsum(there) - 1)[values]
 
 
+def coded(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct hashes, the place of each token's among them, and their counts; as np.unique, but sorts leading bits and place in one number."""
+    bits = np.uint64(max(1, len(tokens) - 1).bit_length())
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    order = (np.sort((tokens & ~low) | np.arange(len(tokens), dtype=np.uint64)) & low).astype(np.int64)
+    ordered = tokens[order]
+    if (ordered[1:] < ordered[:-1]).any():  # different words agree in the leading bits
+        return np.unique(tokens, return_inverse=True, return_counts=True)
+    new = runs(ordered)
+    place = np.empty(len(tokens), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    starts = np.flatnonzero(new)
+    return ordered[starts], place, np.diff(np.append(starts, len(tokens)))
+
+
 def _tokens(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
     """Blocks of about ``most`` tokens: the doc_ids, numbers of tokens and hashes of whole texts."""
     held: list[tuple[list, np.ndarray, np.ndarray]] = []
@@ -144,9 +159,9 @@ def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
     """Blocks coded by their own words, the frequent ones with small codes: sorted by the bits of their count, then by hash."""
     place = TaskContext.get().partitionId()
     for seq, (ids, sizes, tokens) in enumerate(_tokens(batches, most)):
-        words, token, counts = np.unique(tokens, return_inverse=True, return_counts=True)
+        words, token, counts = coded(tokens)
         classes = 64 - np.floor(np.log2(counts)).astype(np.int64)
-        code = np.empty(len(words), np.int64)
+        code = np.empty(len(words), np.int32)
         code[np.argsort(classes, kind="stable")] = np.arange(len(words))
         columns = [pa.array([(place << 32) + seq]), pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64()))]
         columns += [tb.binary_column([chunked.squeezed(x)]) for x in (chunked.pack(words), chunked.planes(classes), chunked.planes(code[token]))]
@@ -180,7 +195,7 @@ class Block:
         frequent = (self.word_count >= corpus.least)[self.token]
         inner = np.append(False, frequent[:-1])
         inner[self.at[:-1]] = False
-        pos = np.flatnonzero(inner)
+        pos = np.flatnonzero(inner).astype(np.int32)
         return Level(pos, self.token[pos - 1], number, self.word_count, self.token[pos], number, frequent[pos], self.p[pos], self.training[pos])
 
     def documents(self, corpus: Corpus, level: Level) -> dict:
@@ -231,37 +246,40 @@ class Asked:
         self.level, self.corpus = level, corpus
         there, self.context = local(level.context, len(level.contexts))
         by_number = np.argsort(level.contexts[there])
-        back = np.empty_like(by_number)
+        back = np.empty(len(there), np.int32)
         back[by_number] = np.arange(len(back))
         there, self.context = there[by_number], back[self.context]
-        self.numbers, n = level.contexts[there], level.n[there]
+        self.numbers, self.n = level.contexts[there], level.n[there]
         able = np.flatnonzero(level.able)
         order, keys = sorted_pairs(self.context[able], level.word[able])
         order, new = able[order], runs(keys)
-        self.pair = np.full(len(level.pos), -1)
-        self.pair[order] = np.cumsum(new) - 1
-        at = order[new]
-        self.word = level.words[level.word[at]]
-        self.counts = np.bincount(self.pair[able], level.training[able], len(at)).astype(np.int64)
-        self.expected = np.rint(STEPS * np.log2(np.maximum(level.n[level.context[at]] * level.p[at], 1e-300))).astype(np.int64) + ZERO
-        shards = 1 + n // max(corpus.shard, corpus.n // 50_000)
+        self.pair = np.full(len(level.pos), -1, np.int32)
+        self.pair[order] = np.cumsum(new, dtype=np.int32) - 1
+        self.at = order[new]
+        self.mine = self.context[self.at]
+        self.word = level.words[level.word[self.at]]
+        shards = 1 + self.n // max(corpus.shard, corpus.n // 50_000)
         start = np.cumsum(shards) - shards
-        self.owner = np.repeat(np.arange(len(n)), shards)
+        self.owner = np.repeat(np.arange(len(shards)), shards)
         self.shard = np.arange(len(self.owner)) - start[self.owner]
         spread = tb.mix(self.numbers[self.owner].astype(np.uint64) * GOLDEN + self.shard.astype(np.uint64)) % np.uint64(corpus.buckets)
         self.bucket = spread.astype(np.int64)
         self.entry_order = np.argsort(self.bucket.astype(np.uint16) if corpus.buckets < 1 << 16 else self.bucket, kind="stable")
-        rank = np.empty_like(self.entry_order)
+        rank = np.empty(len(self.entry_order), np.int64)
         rank[self.entry_order] = np.arange(len(rank))
-        mine = self.context[at]
-        self.entry = rank[start[mine] + (tb.mix(self.word.astype(np.uint64)) % shards[mine].astype(np.uint64)).astype(np.int64)]
+        self.entry = rank[start[self.mine]]
+        dealt = np.flatnonzero(shards[self.mine] > 1)
+        mine = self.mine[dealt]
+        self.entry[dealt] = rank[start[mine] + (tb.mix(self.word[dealt].astype(np.uint64)) % shards[mine].astype(np.uint64)).astype(np.int64)]
         self.pair_order = sorted_pairs(self.entry, self.word)[0]
 
     def send(self, block: int, kind: int) -> pa.Table:
-        e, p = self.entry_order, self.pair_order
+        e, p, level = self.entry_order, self.pair_order, self.level
+        counts = np.bincount(self.pair[level.able & level.training], minlength=len(p))
+        expected = np.rint(STEPS * np.log2(np.maximum(self.n[self.mine] * level.p[self.at], 1e-300))).astype(np.int64) + ZERO
         bucket, number, shard = self.bucket[e], self.numbers[self.owner[e]], self.shard[e]
         many = np.bincount(self.entry, minlength=len(e))
-        word, counts, expected = self.word[p], self.counts[p], self.expected[p]
+        word, counts, expected = self.word[p], counts[p], expected[p]
         steps = np.diff(word, prepend=0)
         upto = np.concatenate(([0], np.cumsum(many)))
         first = upto[:-1][many > 0]
@@ -280,17 +298,17 @@ class Asked:
         if not answers:
             return Level.nothing()
         kept_sum, said, number = (np.concatenate(x) for x in zip(*[[chunked.unplanes(p).astype(np.int64) for p in parted(a)] for a in answers]))
-        r = np.bincount(self.owner[self.entry_order], kept_sum, len(self.numbers))[self.context]
+        r = np.bincount(self.owner[self.entry_order], kept_sum, len(self.numbers))
         says, numbers = np.zeros(len(said) + 1, np.int64), np.zeros(len(said) + 1, np.int64)  # the last place is that of tokens that asked for no pair
         says[self.pair_order] = said
         numbers[self.pair_order[said > 0]] = number
-        mine = says[self.pair]
-        total, kept = mine >> 1, (mine & 1) > 0
-        n = level.n[level.context]
-        level.p = np.where(kept, total / (n + pull), 0.0) + (1 - r / (n + pull)) * level.p
+        totals, share = says >> 1, np.zeros(len(says))
+        share[:-1] = np.where(says[:-1] & 1, totals[:-1] / (self.n[self.mine] + pull), 0.0)
+        level.p = share[self.pair] + (1 - r / (self.n + pull))[self.context] * level.p
         # The first token of a text is on no level, so a neighbour stands in the same text.
-        go = np.flatnonzero((level.pos[1:] == level.pos[:-1] + 1) & (total[:-1] >= least) & (r[1:] > 0)) + 1
-        return Level(level.pos[go], self.pair[go - 1], numbers, says >> 1, level.word[go], level.words, total[go] >= least, level.p[go], level.training[go])
+        again, state = (totals >= least)[self.pair], (r > 0)[self.context]
+        go = np.flatnonzero((level.pos[1:] == level.pos[:-1] + 1) & again[:-1] & state[1:]) + 1
+        return Level(level.pos[go], self.pair[go - 1], numbers, totals, level.word[go], level.words, again[go], level.p[go], level.training[go])
 
 
 def _columns(table: pa.Table):
@@ -378,11 +396,28 @@ def _state(block: int, documents: dict, level: Level) -> pa.Table:
     return pa.table(columns + [pa.array([len(level.pos)], pa.int64()), tb.binary_column([level.pack()])], names=["block", *DOCS, "active", "arrays"])
 
 
+def _finished(row: dict, level: Level, done: np.ndarray) -> np.ndarray:
+    """The texts' scores with the tokens of ``level`` that are ``done``."""
+    ends = np.cumsum(row["n_tokens"])
+    owner = np.searchsorted(ends, level.pos[done], side="right")
+    return np.array(row["score"]) + np.bincount(owner, np.log10(np.maximum(level.p[done], 1e-300)), len(ends))
+
+
+def _closed(batch: pa.RecordBatch) -> pa.Table:
+    """The tree's blocks with the tokens that are left on the last level."""
+    rows = batch.to_pylist()
+    for row in rows:
+        level = Level.unpack(row.pop("arrays"))
+        row["score"] = _finished(row, level, np.ones(len(level.pos), bool))
+    kinds = dict(zip(DOCS, (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())))
+    return pa.table({c: pa.array([list(r[c]) for r in rows], pa.list_(k)) for c, k in kinds.items()})
+
+
 def _answers(heard: pa.Table, kind: int) -> list[bytes]:
     return [a for _, a in chunked.gathered(heard, kind)]
 
 
-def score(docs: DataFrame, mod: int = 7, held: int = 2, divergence: float = DIVERGENCE, least: int = LEAST, pull: float = PULL, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
+def score(docs: DataFrame, mod: int = 7, held: int = 2, divergence: float = DIVERGENCE, least: int = LEAST, pull: float = PULL, depth: int = DEPTH, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
     """Learn from the rows of ``docs`` (doc_id, text) whose crc32(doc_id) mod ``mod`` is not ``held``, and score every row.
 
     base_score is the add-one unigram score; score the tree's log10 probability. Null
@@ -451,18 +486,19 @@ def score(docs: DataFrame, mod: int = 7, held: int = 2, divergence: float = DIVE
         row = table.to_pylist()[0]
         level = Level.unpack(row["arrays"])
         deeper = Asked(level, corpus).hear(_answers(heard, 1)) if row["active"] else level
-        ends, done = np.cumsum(row["n_tokens"]), ~np.isin(level.pos, deeper.pos)
-        owner = np.searchsorted(ends, level.pos[done], side="right")
-        row["score"] = np.array(row["score"]) + np.bincount(owner, np.log10(np.maximum(level.p[done], 1e-300)), len(ends))
+        row["score"] = _finished(row, level, ~np.isin(level.pos, deeper.pos))
         return _state(row["block"], row, deeper)
 
-    while state.agg(F.coalesce(F.sum("active"), F.lit(0))).first()[0]:
+    depth_now = UNROLLED
+    while depth_now < depth and state.agg(F.coalesce(F.sum("active"), F.lit(0))).first()[0]:
+        depth_now += 1
         sent = state.where("active > 0").mapInArrow(ask, chunked.SENT).groupBy("bucket").applyInArrow(_grow(corpus), chunked.ANSWER)
         state = staged(state.groupBy("block").cogroup(sent.groupBy("chunk")).applyInArrow(deepened, STATE), "tree")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat = {c: batch.column(c).flatten() for c in DOCS}
+            batch = _closed(batch)
+            flat = {c: batch.column(c).combine_chunks().flatten() for c in DOCS}
             held_out = pa.array(corpus.held_out(flat["ids"].to_pylist()), pa.bool_())
             train = pa.array(np.full(len(held_out), corpus.n), pa.int64())
             yield pa.RecordBatch.from_arrays(
