@@ -4,7 +4,9 @@ The root has Good-Turing estimates: the V known words share 1 - u of the mass by
 counts, and V + 1 words that may still come share u, the part of the tokens whose word
 occurs once, so the root adds up to one over an open vocabulary. A context s (some words
 before a token, within its text) is looked at if it occurs ``least`` times, its suffix, one
-word shorter, is a state, and what stands before its last word was looked at. It keeps the next words w whose counts diverge from what
+word shorter, is a state, and its last word was counted after what stands before it. A word is
+counted after a context if it might diverge there, going by how often it was counted after the
+suffix. It keeps the next words w whose counts diverge from what
 the suffix s' predicts,
 
     c(s,w) >= least and c(s,w) * log(c(s,w) / (c(s) * P(w|s'))) >= divergence,
@@ -27,6 +29,7 @@ exchange of the blocks; each deeper level is a job over the few tokens that reac
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
@@ -76,6 +79,17 @@ class Corpus:
     def learned(self, ids: list) -> np.ndarray:
         return np.array([h is False for h in self.held_out(ids)], bool)
 
+    def hopeful(self, n: np.ndarray, m: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """Whether a word that occurs m times after the suffix, and p of the time, may diverge after a context of count n.
+
+        With no more than min(n, m) occurrences, it diverges at most as min(n, m) >= n * p * exp(divergence / min(n, m)) says; above 1,024
+        the exponential's first two terms stand for it. Blocks must agree, so the vectors only add, multiply, divide and compare.
+        """
+        most = np.minimum(n, m)
+        table = np.array([1e300] + [math.exp(min(600.0, self.divergence / k)) for k in range(1, 1025)])
+        factor = np.where(most <= 1024, table[np.minimum(most, 1024)], 1 + self.divergence / np.maximum(most, 1))
+        return (most >= self.least) & (most >= n * p * factor)
+
 
 def joined(*parts: bytes) -> bytes:
     return b"".join(len(p).to_bytes(4, "little") + p for p in parts)
@@ -192,11 +206,12 @@ class Block:
         self.word_count, number = count[self.sorted_code], number[self.sorted_code]
         unseen = max(1, corpus.once) / (corpus.n + 1) if corpus.n else 1.0
         self.p = np.where(self.word_count > 0, (1 - unseen) * self.word_count / max(1, corpus.n), unseen / (corpus.v + 1))[self.token]
-        frequent = (self.word_count >= corpus.least)[self.token]
-        inner = np.append(False, frequent[:-1])
+        inner = np.append(False, (self.word_count >= corpus.least)[self.token[:-1]])
         inner[self.at[:-1]] = False
         pos = np.flatnonzero(inner).astype(np.int32)
-        return Level(pos, self.token[pos - 1], number, self.word_count, self.token[pos], number, frequent[pos], self.p[pos], self.training[pos])
+        before, word, p = self.token[pos - 1], self.token[pos], self.p[pos]
+        able = corpus.hopeful(self.word_count[before], self.word_count[word], p)
+        return Level(pos, before, number, self.word_count, word, number, able, p, self.training[pos])
 
     def documents(self, corpus: Corpus, level: Level) -> dict:
         """What is known of each text; score leaves out the tokens that are still in ``level``."""
@@ -217,7 +232,7 @@ class Level:
     n: np.ndarray  # the contexts' counts
     word: np.ndarray
     words: np.ndarray  # the words' numbers
-    able: np.ndarray  # whether context and word may be together ``least`` times
+    able: np.ndarray  # whether the word may diverge after the context
     p: np.ndarray  # of the token by the context's suffix
     training: np.ndarray
 
@@ -308,7 +323,9 @@ class Asked:
         # The first token of a text is on no level, so a neighbour stands in the same text.
         again, state = (totals >= least)[self.pair], (r > 0)[self.context]
         go = np.flatnonzero((level.pos[1:] == level.pos[:-1] + 1) & again[:-1] & state[1:]) + 1
-        return Level(level.pos[go], self.pair[go - 1], numbers, totals, level.word[go], level.words, again[go], level.p[go], level.training[go])
+        before = self.pair[go - 1]
+        able = self.corpus.hopeful(totals[before], totals[self.pair[go]], level.p[go])
+        return Level(level.pos[go], before, numbers, totals, level.word[go], level.words, able, level.p[go], level.training[go])
 
 
 def _columns(table: pa.Table):

@@ -100,17 +100,22 @@ class BruteTree:
         self.n, self.v = sum(self.c.values()), len(self.c)
         once = sum(x == 1 for x in self.c.values())
         self.unseen = max(1, once) / (self.n + 1) if self.n else 1.0
-        self.states, looked, depth, kept = {(): None}, {()}, 1, True
+        self.states, counted, depth, kept = {(): None}, {(w,): n for w, n in self.c.items()}, 1, True
         while kept:
             grams = Counter(tuple(ws[i - depth : i + 1]) for ws in train for i in range(depth, len(ws)))
             contexts, kept = Counter(), False
             for g, n in grams.items():
                 contexts[g[:-1]] += n
-            looked = {s for s, n in contexts.items() if n >= least and s[1:] in self.states and s[:-1] in looked}
+            looked = {s for s, n in contexts.items() if n >= least and s[1:] in self.states and counted.get(s, 0) >= least}
+            before, counted = counted, {}
             found = {}
             for g, n in grams.items():
                 s, w = g[:-1], g[-1]
-                if s in looked and n >= least:
+                most = min(contexts[s], before.get(g[1:], 0))
+                if s in looked and most >= least and most >= contexts[s] * self.p(w, s[1:]) * math.exp(divergence / most):
+                    counted[g] = n
+                    if n < least:
+                        continue
                     expected = round(8 * math.log2(contexts[s] * self.p(w, s[1:]))) / 8 * math.log(2)
                     if n * (math.log(n) - expected) >= divergence:
                         found.setdefault(s, (contexts[s], {}))[1][w] = n
@@ -140,8 +145,8 @@ def learned(i):
 @pytest.mark.parametrize("block, shard", [(1 << 20, 4096), (300, 3)])
 def test_lm_score_equals_a_brute_force_tree(spark, edge_docs, block, shard):
     """Small blocks and shards: contexts of many shards meet the same counts."""
-    phrases = ["alpha beta gamma delta epsilon", "the cat sat on the mat", "beta gamma zeta", "on the way to the mat"]
-    rows = [(k, " ".join(phrases[(k * 7 + j * j) % 4] + f" n{(k * j) % 23}" for j in range(12))) for k in range(100, 160)]
+    phrases = ["alpha beta gamma delta epsilon", "the cat sat on the mat", "beta gamma zeta", "on the way to the mat", "left x y west", "right x y east", "q y south"]
+    rows = [(k, " ".join(phrases[(k * 5 + j * j + j // 3) % 7] + f" n{(k * j) % 23}" for j in range(12))) for k in range(100, 160)]
     rows += [(i, t) for i, t in rows_of(edge_docs) if i != 6]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     tree = BruteTree([t for _, t in rows], [learned(i) for i, _ in rows])
