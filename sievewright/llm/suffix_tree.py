@@ -4,9 +4,9 @@ The root has Good-Turing estimates: the V known words share 1 - u of the mass by
 counts, and V + 1 words that may still come share u, the part of the tokens whose word
 occurs once, so the root adds up to one over an open vocabulary. A context s (some words
 before a token, within its text) is looked at if it occurs ``least`` times, its suffix, one
-word shorter, is a state, and its last word was counted after what stands before it. A word is
-counted after a context if it might diverge there, going by how often it was counted after the
-suffix. It keeps the next words w whose counts diverge from what
+word shorter, is a state, and its last word was counted after what stands before it. A word that occurs ``least`` times
+is counted after a context of one word; after a longer one if it might diverge there, going by how often
+it was counted after the suffix. It keeps the next words w whose counts diverge from what
 the suffix s' predicts,
 
     c(s,w) >= least and c(s,w) * log(c(s,w) / (c(s) * P(w|s'))) >= divergence,
@@ -45,8 +45,8 @@ from sievewright.llm import chunked
 from sievewright.llm import textbytes as tb
 from sievewright.llm.staging import staged
 
-DIVERGENCE, LEAST, PULL = 10.0, 2, 1.0
-BLOCK, SHARD, UNROLLED, DEPTH = 1 << 20, 4096, 3, 8
+DIVERGENCE, LEAST, PULL = 12.0, 2, 1.0
+BLOCK, SHARD, UNROLLED, DEPTH = 3 << 19, 4096, 3, 8
 WORDS = 0  # the kind of the root's answers; the others are levels
 END = np.uint64(0x5851F42D4C957F2D)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -87,7 +87,9 @@ class Corpus:
         """
         most = np.minimum(n, m)
         table = np.array([1e300] + [math.exp(min(600.0, self.divergence / k)) for k in range(1, 1025)])
-        factor = np.where(most <= 1024, table[np.minimum(most, 1024)], 1 + self.divergence / np.maximum(most, 1))
+        factor = table[np.minimum(most, 1024)]
+        large = np.flatnonzero(most > 1024)
+        factor[large] = 1 + self.divergence / most[large]
         return (most >= self.least) & (most >= n * p * factor)
 
 
@@ -206,12 +208,11 @@ class Block:
         self.word_count, number = count[self.sorted_code], number[self.sorted_code]
         unseen = max(1, corpus.once) / (corpus.n + 1) if corpus.n else 1.0
         self.p = np.where(self.word_count > 0, (1 - unseen) * self.word_count / max(1, corpus.n), unseen / (corpus.v + 1))[self.token]
-        inner = np.append(False, (self.word_count >= corpus.least)[self.token[:-1]])
+        frequent = (self.word_count >= corpus.least)[self.token]
+        inner = np.append(False, frequent[:-1])
         inner[self.at[:-1]] = False
         pos = np.flatnonzero(inner).astype(np.int32)
-        before, word, p = self.token[pos - 1], self.token[pos], self.p[pos]
-        able = corpus.hopeful(self.word_count[before], self.word_count[word], p)
-        return Level(pos, before, number, self.word_count, word, number, able, p, self.training[pos])
+        return Level(pos, self.token[pos - 1], number, self.word_count, self.token[pos], number, frequent[pos], self.p[pos], self.training[pos])
 
     def documents(self, corpus: Corpus, level: Level) -> dict:
         """What is known of each text; score leaves out the tokens that are still in ``level``."""
@@ -273,7 +274,11 @@ class Asked:
         self.at = order[new]
         self.mine = self.context[self.at]
         self.word = level.words[level.word[self.at]]
-        shards = 1 + self.n // max(corpus.shard, corpus.n // 50_000)
+        # A context that keeps nothing for sure is not sent: too few of its occurrences are left for a word that may diverge.
+        lost = np.bincount(self.context[level.training & ~level.able], minlength=len(there))
+        open_ = self.n - lost >= corpus.least
+        open_[self.mine] = True
+        shards = np.where(open_, 1 + self.n // max(corpus.shard, corpus.n // 50_000), 0)
         start = np.cumsum(shards) - shards
         self.owner = np.repeat(np.arange(len(shards)), shards)
         self.shard = np.arange(len(self.owner)) - start[self.owner]
@@ -299,12 +304,19 @@ class Asked:
         upto = np.concatenate(([0], np.cumsum(many)))
         first = upto[:-1][many > 0]
         steps[first] = word[first]
+        # Words are numbered by frequency, so expectations of neighbours are close.
+        drops = np.diff(expected, prepend=0)
+        drops = (drops << 1) ^ (drops >> 63)
+        drops[first] = expected[first]
+        is_first = np.zeros(len(p), bool)
+        is_first[first] = True
         starts = np.flatnonzero(runs(bucket))
         rows = []
         for s, t in zip(starts, np.append(starts[1:], len(e))):
             a, b = upto[s], upto[t]
             contexts = joined(chunked.pack(number[s:t].astype(np.uint64)), chunked.planes(shard[s:t]), chunked.planes(many[s:t]))
-            rows.append((int(bucket[s]), block, kind, contexts, joined(chunked.planes(steps[a:b]), chunked.planes(counts[a:b]), chunked.planes(expected[a:b]))))
+            d, f = drops[a:b], is_first[a:b]
+            rows.append((int(bucket[s]), block, kind, contexts, joined(*[chunked.planes(x) for x in (steps[a:b], counts[a:b], d[f], d[~f])])))
         return chunked.sent(rows)
 
     def hear(self, answers: list[bytes]) -> Level:
@@ -371,11 +383,19 @@ def _sum_words(table: pa.Table) -> pa.Table:
 def _grow(corpus: Corpus):
     """Counts of the contexts' next words, the divergence test, the sum that each context keeps, and numbers for the longer contexts."""
 
-    def words_of(steps: np.ndarray, many: np.ndarray) -> np.ndarray:
-        """Words of each context from their differences."""
+    def summed(steps: np.ndarray, firsts: np.ndarray, runs: np.ndarray) -> np.ndarray:
+        """Running sums of the differences, anew from each of ``firsts``."""
         upto = np.cumsum(steps)
-        first = (np.cumsum(many) - many)[many > 0].astype(np.int64)
-        return upto - np.repeat(upto[first] - steps[first], many[many > 0].astype(np.int64)) if len(steps) else steps
+        return upto - np.repeat(upto[firsts] - steps[firsts], runs)
+
+    def unfolded(pairs: list[list[bytes]], firsts: np.ndarray, n: int) -> np.ndarray:
+        """Differences of the expectations, the first of each context whole."""
+        out, is_first = np.zeros(n, np.int64), np.zeros(n, bool)
+        is_first[firsts] = True
+        out[is_first] = np.concatenate([chunked.unplanes(x[2]) for x in pairs])
+        drops = np.concatenate([chunked.unplanes(x[3]) for x in pairs]).astype(np.int64)
+        out[~is_first] = (drops >> 1) ^ -(drops & 1)
+        return out
 
     def run(table: pa.Table) -> pa.Table:
         bucket, blocks, keys, extra = _columns(table)
@@ -383,9 +403,11 @@ def _grow(corpus: Corpus):
         contexts, pairs = [parted(k) for k in keys], [parted(x) for x in extra]
         numbers, words = [chunked.unpack(c[0]) for c in contexts], [chunked.unplanes(x[0]) for x in pairs]
         shard, many = (np.concatenate([chunked.unplanes(c[i]) for c in contexts]) for i in (1, 2))
-        counts, expected = (np.concatenate([chunked.unplanes(x[i]) for x in pairs]) for i in (1, 2))
-        number, word = np.concatenate(numbers), words_of(np.concatenate(words), many)
-        owner = np.repeat(np.arange(len(number)), many.astype(np.int64))
+        counts, many = np.concatenate([chunked.unplanes(x[1]) for x in pairs]), many.astype(np.int64)
+        firsts, lengths = (np.cumsum(many) - many)[many > 0], many[many > 0]
+        number, word = np.concatenate(numbers), summed(np.concatenate(words), firsts, lengths)
+        expected = summed(unfolded(pairs, firsts, len(word)), firsts, lengths)
+        owner = np.repeat(np.arange(len(number)), many)
         entries, entry = np.unique(paired(number, shard), return_inverse=True)
         order, sorted_keys = sorted_pairs(number[owner], word)
         new = runs(sorted_keys)
@@ -393,7 +415,7 @@ def _grow(corpus: Corpus):
         place[order] = np.cumsum(new) - 1
         first = order[new]
         total = np.bincount(place, counts.astype(float), len(first)).astype(np.int64)
-        level = np.maximum.reduceat(expected[order], np.flatnonzero(new)).astype(np.int64) if len(first) else total
+        level = np.maximum.reduceat(expected[order], np.flatnonzero(new)) if len(first) else total
         kept = (total >= corpus.least) & (total * (np.log(np.maximum(total, 1)) - (level - ZERO) / STEPS * np.log(2)) >= corpus.divergence)
         sums = np.bincount(entry[owner[first]], np.where(kept, total, 0), len(entries)).astype(np.int64)[entry]
         say, name = np.where(total >= corpus.least, 2 * total + kept, 0)[place], numbered(total, bucket, corpus)[place]
@@ -448,7 +470,7 @@ def score(docs: DataFrame, mod: int = 7, held: int = 2, divergence: float = DIVE
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").sortWithinPartitions("doc_id", "text")
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for k, (ids, sizes, tokens) in enumerate(_tokens(batches, 4 * block)):
+        for k, (ids, sizes, tokens) in enumerate(_tokens(batches, max(block, 1 << 22))):
             words, n = np.unique(tokens[np.repeat(plain.learned(ids), sizes)], return_counts=True)
             yield from chunked.sent([(b, k, WORDS, chunked.pack(words[s:e]), chunked.planes(n[s:e])) for b, s, e in chunked.cut(words, 64, buckets)]).to_batches()
 
