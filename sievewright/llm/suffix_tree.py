@@ -319,12 +319,14 @@ class Asked:
             rows.append((int(bucket[s]), block, kind, contexts, joined(*[chunked.planes(x) for x in (steps[a:b], counts[a:b], d[f], d[~f])])))
         return chunked.sent(rows)
 
-    def hear(self, answers: list[bytes]) -> Level:
+    def hear(self, answers: list[tuple[int, bytes]]) -> Level:
         """Update the level's predictions and give the next one: tokens whose context is a state, and the context that reaches one word further back."""
         level, least, pull = self.level, self.corpus.least, self.corpus.pull
         if not answers:
             return Level.nothing()
-        kept_sum, said, number = (np.concatenate(x) for x in zip(*[[chunked.unplanes(p).astype(np.int64) for p in parted(a)] for a in answers]))
+        told = [(bucket, *parted(a)) for bucket, a in answers]
+        kept_sum, said = (np.concatenate([chunked.unplanes(t[i]).astype(np.int64) for t in told]) for i in (1, 2))
+        number = np.concatenate([chunked.unpack(t[3]).astype(np.int64) * self.corpus.buckets + t[0] for t in told])
         r = np.bincount(self.owner[self.entry_order], kept_sum, len(self.numbers))
         says, numbers = np.zeros(len(said) + 1, np.int64), np.zeros(len(said) + 1, np.int64)  # the last place is that of tokens that asked for no pair
         says[self.pair_order] = said
@@ -409,7 +411,7 @@ def _grow(corpus: Corpus):
         expected = summed(unfolded(pairs, firsts, len(word)), firsts, lengths)
         owner = np.repeat(np.arange(len(number)), many)
         entries, entry = np.unique(paired(number, shard), return_inverse=True)
-        order, sorted_keys = sorted_pairs(number[owner], word)
+        order, sorted_keys = sorted_pairs(entry[owner], word)
         new = runs(sorted_keys)
         place = np.empty(len(order), np.int64)
         place[order] = np.cumsum(new) - 1
@@ -418,11 +420,13 @@ def _grow(corpus: Corpus):
         level = np.maximum.reduceat(expected[order], np.flatnonzero(new)) if len(first) else total
         kept = (total >= corpus.least) & (total * (np.log(np.maximum(total, 1)) - (level - ZERO) / STEPS * np.log(2)) >= corpus.divergence)
         sums = np.bincount(entry[owner[first]], np.where(kept, total, 0), len(entries)).astype(np.int64)[entry]
-        say, name = np.where(total >= corpus.least, 2 * total + kept, 0)[place], numbered(total, bucket, corpus)[place]
+        alive = total >= corpus.least
+        # A bucket numbers the pairs in the order in which every block sent them.
+        say, name = np.where(alive, 2 * total + kept, 0)[place], (np.cumsum(alive) - 1)[place]
         rows, e, p = [], 0, 0
         for c, mine, own in zip(blocks, numbers, words):
             n, m = e + len(mine), p + len(own)
-            rows.append((c, bucket, kind, joined(chunked.planes(sums[e:n]), chunked.planes(say[p:m]), chunked.planes(name[p:m][say[p:m] > 0]))))
+            rows.append((c, bucket, kind, joined(chunked.planes(sums[e:n]), chunked.planes(say[p:m]), chunked.pack(name[p:m][say[p:m] > 0].astype(np.uint64)))))
             e, p = n, m
         return chunked.answers(rows)
 
@@ -452,10 +456,6 @@ def _closed(batch: pa.RecordBatch) -> pa.Table:
     return pa.table({c: pa.array([list(r[c]) for r in rows], pa.list_(k)) for c, k in kinds.items()})
 
 
-def _answers(heard: pa.Table, kind: int) -> list[bytes]:
-    return [a for _, a in chunked.gathered(heard, kind)]
-
-
 def score(docs: DataFrame, mod: int = 7, held: int = 2, divergence: float = DIVERGENCE, least: int = LEAST, pull: float = PULL, depth: int = DEPTH, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
     """Learn from the rows of ``docs`` (doc_id, text) whose crc32(doc_id) mod ``mod`` is not ``held``, and score every row.
 
@@ -464,7 +464,7 @@ def score(docs: DataFrame, mod: int = 7, held: int = 2, divergence: float = DIVE
     doc_id is scored, has a null held_out and is not learned from; other columns are ignored; an
     empty table gives an empty result, and without training rows every token is unseen.
     """
-    buckets, tasks = chunked.bucket_count(docs, 4 << 20, 32), chunked.bucket_count(docs, 6 << 20, 16)
+    buckets, tasks = chunked.bucket_count(docs, 16 << 20, 32), chunked.bucket_count(docs, 6 << 20, 16)
     plain = Corpus(mod, held, buckets, divergence, least, pull, shard)
     # In a fixed order, blocks come out alike however often a task runs.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").sortWithinPartitions("doc_id", "text")
@@ -486,7 +486,7 @@ def score(docs: DataFrame, mod: int = 7, held: int = 2, divergence: float = DIVE
         tokens = Block(table.to_pylist()[0], corpus)
         level = tokens.hear_words(heard, corpus)
         for k in range(1, upto):
-            deeper = Asked(level, corpus).hear(_answers(heard, k))
+            deeper = Asked(level, corpus).hear(chunked.gathered(heard, k))
             tokens.p[level.pos] = level.p
             level = deeper
         return tokens, level
@@ -524,7 +524,7 @@ def score(docs: DataFrame, mod: int = 7, held: int = 2, divergence: float = DIVE
     def deepened(key, table, heard):
         row = table.to_pylist()[0]
         level = Level.unpack(row["arrays"])
-        deeper = Asked(level, corpus).hear(_answers(heard, 1)) if row["active"] else level
+        deeper = Asked(level, corpus).hear(chunked.gathered(heard, 1)) if row["active"] else level
         row["score"] = _finished(row, level, ~np.isin(level.pos, deeper.pos))
         return _state(row["block"], row, deeper)
 
