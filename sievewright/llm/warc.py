@@ -3,7 +3,7 @@
 A capture is written as a request, a response (or revisit) and a metadata record, each a
 gzip member, the first and last naming the second in WARC-Concurrent-To. Archives are
 written by Spark's text writer, whose committer and file systems serve any cluster: a
-row is a segment of up to ``SEGMENT`` bytes and a file of its own, and the line
+row is a segment of up to ``SEGMENT`` bytes, a file has up to ``SEGMENTS`` of them, and the line
 separator is an empty gzip member. Reading streams the members of a file. Assembly
 groups the records of a capture by the identifier that they are concurrent to.
 """
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SEGMENT = 8 << 20
+SEGMENT, SEGMENTS = 8 << 20, 8  # bytes of a segment, and segments of a file
 #: A gzip member without content.
 EMPTY = bytes([0x1F, 0x8B, 8, 0, 0, 0, 0, 0, 0, 3, 3, 0, 0, 0, 0, 0, 0, 0, 0, 0])
 SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the name space of URLs
@@ -31,8 +31,9 @@ RECORD = (
 )
 
 
-def record_id(kind: str, page_id: object, url: str, digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(SPACE, f'{kind} {page_id} {url} {digest}')}>"
+def record_id(kind: str, page_id: object, url: str, digest: str, copy: int = 0) -> str:
+    """``copy`` tells rows apart that agree in all the rest."""
+    return f"<urn:uuid:{uuid.uuid5(SPACE, f'{kind} {page_id} {url} {digest}' + (f' {copy}' if copy else ''))}>"
 
 
 def _uri(url: str | None, page_id: object) -> str:
@@ -45,10 +46,10 @@ def _member(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return z.compress(head.encode() + block + b"\r\n\r\n") + z.flush()
 
 
-def members(page_id: object, url: str | None, html: bytes, digest: str, first: tuple[object, str | None] | None, date: str) -> list[bytes]:
+def members(page_id: object, url: str | None, html: bytes, digest: str, first: tuple[object, str | None] | None, date: str, copy: int = 0) -> list[bytes]:
     """The three members of a capture; ``first`` (page_id and url) makes it a revisit of that response."""
     uri = _uri(url, page_id)
-    me = record_id("response", page_id, uri, digest)
+    me = record_id("response", page_id, uri, digest, copy)
     common = [("WARC-Date", date), ("WARC-Target-URI", uri)]
     at = urlsplit(uri)
     request = f"GET {at.path or '/'}{'?' + at.query if at.query else ''} HTTP/1.1\r\nHost: {at.netloc}\r\n\r\n".encode()
@@ -59,9 +60,9 @@ def members(page_id: object, url: str | None, html: bytes, digest: str, first: t
         own += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id("response", first[0], first_uri, digest)), ("WARC-Refers-To-Target-URI", first_uri)]
     kept = f"page_id: {'' if page_id is None else page_id}\r\n".encode()
     return [
-        _member([("WARC-Type", "request"), ("WARC-Record-ID", record_id("request", page_id, uri, digest)), ("WARC-Concurrent-To", me), *common, ("Content-Type", "application/http; msgtype=request")], request),
+        _member([("WARC-Type", "request"), ("WARC-Record-ID", record_id("request", page_id, uri, digest, copy)), ("WARC-Concurrent-To", me), *common, ("Content-Type", "application/http; msgtype=request")], request),
         _member(own, answer if first else answer + html),
-        _member([("WARC-Type", "metadata"), ("WARC-Record-ID", record_id("metadata", page_id, uri, digest)), ("WARC-Concurrent-To", me), *common, ("Content-Type", "application/warc-fields")], kept),
+        _member([("WARC-Type", "metadata"), ("WARC-Record-ID", record_id("metadata", page_id, uri, digest, copy)), ("WARC-Concurrent-To", me), *common, ("Content-Type", "application/warc-fields")], kept),
     ]
 
 
@@ -69,20 +70,27 @@ def write_archives(pages: DataFrame, path: str, least: int = 100, date: str = "2
     """Write a capture for every row of ``pages`` (page_id, url, html) to gzip archives under ``path``.
 
     Of captures with equal payloads of ``least`` bytes or more, that with the smallest
-    page_id is the response and the others revisit it. A null html is an empty payload, a null
-    url a urn of the page; other columns are ignored; no rows make no captures. Only
-    payloads that occur again are looked up, so the lookup is as small as they are few,
-    and Spark broadcasts it only when its measured size allows.
+    page_id is the response and the others revisit it; rows that tie for it are all responses, as are
+    rows without a page_id, which nothing refers to. Rows that agree in everything make a capture each. A null html is an
+    empty payload, a null url a urn of the page; other columns are ignored; no rows make no
+    captures. Only payloads that occur again and rows that repeat are looked up, so the
+    lookups are as small as they are few, and Spark broadcasts them only when their measured size allows.
     """
     html = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select("page_id", "url", html.cast("binary").alias("payload"), F.sha2(html.cast("binary"), 256).alias("digest"))
-    groups = (
-        rows.where(F.octet_length("payload") >= least).groupBy("digest")
-        .agg(F.count("*").alias("n"), F.min(F.struct("page_id", "url")).alias("first")).where("n > 1")
-        .select(F.col("digest").alias("again"), "first")
-    )
-    rows = rows.join(groups, rows.digest == groups.again, "left")
-    rows = rows.select("page_id", "url", "payload", "digest", F.when(F.col("first.page_id") != F.col("page_id"), F.col("first")).alias("first"))
+    rows = rows.withColumn("row_key", F.sha2(F.concat_ws(" ", "digest", F.to_json(F.struct("page_id", "url"))), 256))
+    captures = rows.groupBy("row_key", "digest", "page_id", "url").agg(F.count("*").alias("copies"), F.max(F.octet_length("payload")).alias("size"))
+    named = F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))
+    groups = captures.where(F.col("size") >= least).groupBy("digest").agg(F.sum("copies").alias("n"), F.min(named).alias("first")).where("n > 1")
+    groups = groups.select(F.col("digest").alias("again"), "first")
+    repeats = captures.where("copies > 1").select(F.col("row_key").alias("repeated"), "copies")
+    rows = rows.join(groups, rows.digest == groups.again, "left").join(repeats, rows.row_key == repeats.repeated, "left")
+    rows = rows.select("page_id", "url", "payload", "digest", "row_key", "copies", F.when(F.col("first.page_id") != F.col("page_id"), F.col("first")).alias("first"))
+    once = rows.where("copies is null").select("page_id", "url", "payload", "digest", "first", F.lit(0).alias("copy"))
+    # Rows that agree in everything are one row and its number of copies.
+    whole = F.first(F.struct("page_id", "url", "payload", "digest", "first")).alias("r")
+    many = rows.where("copies is not null").groupBy("row_key", "copies").agg(whole).select("r.*", F.explode(F.sequence(F.lit(0), F.col("copies").cast("int") - 1)).alias("copy"))
+    rows = once.unionByName(many)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -90,7 +98,7 @@ def write_archives(pages: DataFrame, path: str, least: int = 100, date: str = "2
             for k in range(0, batch.num_rows, 256):
                 for r in batch.slice(k, 256).to_pylist():
                     first = (r["first"]["page_id"], r["first"]["url"]) if r["first"] else None
-                    for m in members(r["page_id"], r["url"], r["payload"], r["digest"], first, date):
+                    for m in members(r["page_id"], r["url"], r["payload"], r["digest"], first, date, r["copy"]):
                         held.append(m)
                         size += len(m)
                     if size >= SEGMENT:
@@ -100,7 +108,7 @@ def write_archives(pages: DataFrame, path: str, least: int = 100, date: str = "2
             yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], ["value"])
 
     body = rows.mapInArrow(segments, "value binary").select(F.col("value").cast("string").alias("value"))
-    body.write.option("lineSep", EMPTY.decode("latin-1")).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", 1).text(path)
+    body.write.option("lineSep", EMPTY.decode("latin-1")).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", SEGMENTS).text(path)
 
 
 def _members(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -136,7 +144,8 @@ def read_records(spark: SparkSession, path: str, with_payload: bool = True) -> D
 
     payload_bytes and payload_digest are those of the whole payload: taken from the
     bytes of a response, and from the headers of a revisit, which has none. digest_ok
-    tells whether the bytes agree with the header.
+    tells whether the bytes agree with the header. Records that are there twice are two rows; a path without
+    archives gives no rows or Spark's error for a missing path, and a broken or cut archive raises.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
