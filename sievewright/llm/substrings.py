@@ -21,6 +21,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sievewright.llm import chunked
 from sievewright.llm import textbytes as tb
@@ -233,12 +234,14 @@ def repeated_passages(docs: DataFrame, length: int = 50, with_text: bool = False
 
     A byte goes if a string of ``length`` bytes over it also starts in a document with a
     smaller doc_id; repeats within one document stay. Null and empty texts have no
-    bytes; rows of one doc_id never remove each other's bytes; other columns are ignored; an empty table gives an
+    bytes; rows of one doc_id never remove each other's bytes; rows without a doc_id stay whole and remove nothing; other columns are ignored; an empty table gives an
     empty result. In ``kept``, bytes of a character that was cut are left out.
     """
     if not GRAM < length <= GRAM + 40:
         raise ValueError(f"length must be over {GRAM} and at most {GRAM + 40}")
     carry = carry or []
+    nameless = docs.where("doc_id is null")
+    docs = docs.where("doc_id is not null")
     texts, buckets = chunked.in_chunks(docs, chunked.chunk_count(docs), carry), chunked.bucket_count(docs)
 
     def first(key, table):
@@ -273,4 +276,8 @@ def repeated_passages(docs: DataFrame, length: int = 50, with_text: bool = False
     by_chunk = texts.groupBy("chunk")
     shared = by_chunk.applyInArrow(first, chunked.SENT).groupBy("bucket").applyInArrow(_share, chunked.ANSWER)
     masks = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(second, chunked.SENT).groupBy("bucket").applyInArrow(_refine(length), chunked.ANSWER)
-    return by_chunk.cogroup(shared.unionAll(masks).groupBy("chunk")).applyInArrow(third, schema)
+    found = by_chunk.cogroup(shared.unionAll(masks).groupBy("chunk")).applyInArrow(third, schema)
+    body = F.coalesce(F.col("text"), F.lit(""))
+    none = F.lit(0).cast("long")
+    whole = [F.lit(None).cast("long").alias("doc_id"), F.octet_length(body).cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), F.sha2(body.cast("binary"), 256).alias("kept_sha256")]
+    return found.unionAll(nameless.select(*whole, *[body.alias("kept")] * with_text, *[F.col(f"`{c}`") for c in carry]))

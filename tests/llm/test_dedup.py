@@ -100,3 +100,10 @@ def test_passages_carry_columns_and_text(edge_docs, no_docs):
     assert {r["doc_id"]: r["kept"] == "" for r in got} == {7: False, 8: True, 90: False}
     assert all(r["score"] == 9.0 for r in got)
     assert substrings.repeated_passages(no_docs).collect() == []
+
+
+def test_rows_without_id_stay_whole(spark):
+    text = "a passage that is long enough to be fifty bytes and more, surely"
+    rows = [(1, text), (None, text), (2, text), (None, None)]
+    got = substrings.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), with_text=True).collect()
+    assert sorted((str(r["doc_id"]), r["n_removed"], r["kept"]) for r in got) == [("1", 0, text), ("2", len(text), ""), ("None", 0, ""), ("None", 0, text)]
