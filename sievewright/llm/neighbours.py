@@ -5,10 +5,12 @@ a bounded labelled sample (at most ``MAX_EACH`` examples of each label); their d
 frequencies count all documents. A term's weight grows with the chi-squared statistic of
 its association with the label in the sample, and no term's falls below its TF-IDF.
 
-A query is compared with every example: terms of more than one in ``OFTEN`` examples as a
-product of dense matrices for ``QUERIES`` queries at once, the others through an inverted
-index. Votes weigh by squared similarity, and isotonic regression on leave-one-out votes
-calibrates them.
+Terms of more than one in ``OFTEN`` examples are products of dense matrices for ``QUERIES``
+queries at once; they alone give each query a least similarity that its nearest examples
+reach. The others stand in an inverted index whose lists are cut into blocks of examples, each with
+its largest weight: a block is opened only if its bound reaches that similarity, so the
+search is exact. Votes weigh by squared similarity, and isotonic regression on
+leave-one-out votes, which the executors work out, calibrates them.
 
 The examples have a fixed number, so the broadcast index grows with their texts only;
 scoring the corpus is one pass over the texts without a shuffle.
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from sievewright.llm import textbytes as tb
 from sievewright.llm.common import hashed_order
 
-MAX_EACH, OFTEN, QUERIES, NEAREST, PULL = 3000, 16, 64, 15, 0.5
+MAX_EACH, OFTEN, QUERIES, NEAREST, PULL, BLOCK = 3000, 16, 64, 15, 0.5, 32
 EVIDENCE = "array<struct<doc_id:bigint,similarity:double,toxic:int>>"
 
 
@@ -70,6 +72,14 @@ def _vectors(batch: pa.RecordBatch, vocabulary: Vocabulary) -> Iterator[tuple[in
             yield base + int(r), keys[a:b] % size, counts[a:b]
 
 
+def _spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of the spans, and the span of each."""
+    size = ends - starts
+    upto = np.cumsum(size)
+    total = int(upto[-1]) if len(upto) else 0
+    return np.arange(total) + np.repeat(starts - upto + size, size), np.repeat(np.arange(len(size)), size)
+
+
 @dataclass
 class Index:
     """Normalised example vectors: a dense matrix of the frequent terms, an inverted index of the others."""
@@ -97,30 +107,39 @@ class Index:
         self.dense = np.zeros((int(often.sum()), n))
         wide = often[terms]
         self.dense[self.place[terms[wide]], rows[wide]] = values[wide]
-        self.rows, self.values = rows[~wide], values[~wide]
-        self.at = np.searchsorted(terms[~wide], np.arange(t + 1))
-
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"examples": []}  # which calibration alone needs
+        self.rows, self.values, terms = rows[~wide], values[~wide], terms[~wide]
+        # A list's run of examples of one block: its first posting, its block and its largest weight.
+        cut = np.ones(len(terms), bool)
+        cut[1:] = (terms[1:] != terms[:-1]) | (self.rows[1:] // BLOCK != self.rows[:-1] // BLOCK)
+        self.starts = np.append(np.flatnonzero(cut), len(terms))
+        self.blocks = self.rows[cut] // BLOCK
+        self.most = np.maximum.reduceat(self.values, self.starts[:-1]) if len(terms) else np.zeros(0)
+        self.at = np.searchsorted(terms[cut], np.arange(t + 1))
 
     def weigh(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         w = (1 + np.log(counts)) * self.idf[terms]
         return w / max(1e-12, np.sqrt((w * w).sum()))
 
-    def cosines(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """Of every query (terms, counts) with every example."""
+    def cosines(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int = NEAREST + 1) -> np.ndarray:
+        """Of every query (terms, counts) with every example; exact wherever it may be among the k largest, and never too large elsewhere."""
         n = len(self.doc_ids)
         weights, wide = [self.weigh(x, c) for x, c in queries], np.zeros((len(queries), len(self.dense)))
-        for k, ((x, _), w) in enumerate(zip(queries, weights)):
+        for q, ((x, _), w) in enumerate(zip(queries, weights)):
             often = self.place[x] >= 0
-            wide[k, self.place[x[often]]] = w[often]
+            wide[q, self.place[x[often]]] = w[often]
         out = wide @ self.dense
-        for k, ((x, _), w) in enumerate(zip(queries, weights)):
-            size = self.at[x + 1] - self.at[x]
-            ends = np.cumsum(size)
-            if len(ends) and ends[-1]:
-                at = np.arange(ends[-1]) + np.repeat(self.at[x] - ends + size, size)
-                out[k] += np.bincount(self.rows[at], self.values[at] * np.repeat(w, size), n)
+        bounds = np.maximum.reduceat(out, np.arange(0, n, BLOCK), axis=1) if n else out
+        for q, ((x, _), w) in enumerate(zip(queries, weights)):
+            runs, each = _spans(self.at[x], self.at[x + 1])
+            if not len(runs):
+                continue
+            w = w[each]
+            bound = bounds[q] + np.bincount(self.blocks[runs], self.most[runs] * w, bounds.shape[1])
+            least = np.partition(out[q], -k)[-k] - 1e-8 if n > k else -1.0
+            opened = (bound >= least)[self.blocks[runs]]
+            runs, w = runs[opened], w[opened]
+            at, each = _spans(self.starts[runs], self.starts[runs + 1])
+            out[q] += np.bincount(self.rows[at], self.values[at] * w[each], n)
         return out
 
     def best(self, cosines: np.ndarray, skip: int = -1, k: int = NEAREST) -> list[tuple[float, int]]:
@@ -139,12 +158,17 @@ class Index:
         y = np.array([self.labels[r] for _, r in near])
         return float(((s * y).sum() + PULL * self.prior) / (s.sum() + PULL))
 
-    def calibrate(self) -> None:
+    def left_out(self, low: int, high: int) -> list[tuple[float, int]]:
+        """Votes of some examples by all the others."""
+        out = []
+        for base in range(low, high, QUERIES):
+            some = self.examples[base : min(high, base + QUERIES)]
+            for r, cosines in enumerate(self.cosines(some), base):
+                out.append((round(self.vote(self.best(cosines, skip=r)) if len(self.examples[r][0]) else self.prior, 6), r))
+        return out
+
+    def calibrate(self, got: list[tuple[float, int]]) -> None:
         """Isotonic regression (pool adjacent violators) of the labels on leave-one-out votes."""
-        got = []
-        for low in range(0, len(self.examples), QUERIES):
-            for r, cosines in enumerate(self.cosines(self.examples[low : low + QUERIES]), low):
-                got.append((round(self.vote(self.best(cosines, skip=r)) if len(self.examples[r][0]) else self.prior, 6), r))
         got.sort()
         pools: list[list[float]] = []  # weight, weighted positives, first and last vote
         for v, r in got:
@@ -179,28 +203,10 @@ def _bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.select(["doc_id", "y"]).columns, tb.binary_column(terms), tb.binary_column(counts)], ["doc_id", "y", "terms", "counts"])
 
 
-def _unlike(bags: list) -> list:
-    """The bags without near copies of an earlier one of the same label, whose chance words would pass for signs of it.
-
-    Near copies agree in one of five bands of eight minima over their terms.
-    """
-    rng, seen, kept = np.random.default_rng(8), set(), []
-    factors = rng.integers(0, 1 << 63, 40, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    for bag in bags:
-        if len(bag[2]):
-            least = [int((bag[2] * f).min()) for f in factors]
-            keys = {(bag[1], k, *least[k : k + 8]) for k in range(0, 40, 8)}
-            if keys & seen:
-                continue
-            seen |= keys
-        kept.append(bag)
-    return kept
-
-
 def _select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In one task over the bounded sample: its terms, their chi-squared statistics, and the examples in them."""
     rows = sorted((r["doc_id"], r["y"], r["terms"], r["counts"]) for b in batches for r in b.to_pylist())
-    bags = _unlike([(i, y, np.frombuffer(t, np.uint64), np.frombuffer(c, np.int32)) for i, y, t, c in rows])
+    bags = [(i, y, np.frombuffer(t, np.uint64), np.frombuffer(c, np.int32)) for i, y, t, c in rows]
     y = np.array([b[1] for b in bags], int)
     terms, place = np.unique(np.concatenate([b[2] for b in bags]) if bags else np.zeros(0, np.uint64), return_inverse=True)
     owner = np.repeat(np.arange(len(bags)), [len(b[2]) for b in bags]) if bags else np.zeros(0, int)
@@ -215,16 +221,19 @@ def _select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([tb.binary_column([pickle.dumps((terms, chi2, out))])], ["model"])
 
 
-def train(documents: DataFrame, labels: DataFrame, usable: Column) -> Index:
-    """Index the labelled rows where ``usable`` (over ``_id``) holds: at most MAX_EACH of each label, first in a hashed order.
+def train(documents: DataFrame, labels: DataFrame, usable: Column, max_each: int = MAX_EACH) -> Index:
+    """Index the labelled rows where ``usable`` (over ``_id``) holds: at most ``max_each`` of each label, first in a hashed order.
 
-    A text that occurs again under the label stands once.
+    A text that occurs again under the label stands once, under its smallest doc_id. Rows without
+    a label or a doc_id are left out; null and empty texts are examples without terms; without labelled
+    rows the index is empty and every score is the prior.
     """
     wanted = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("y")).where(F.col("y").isNotNull() & F.col("_id").isNotNull() & usable)
     share = dict(map(tuple, wanted.groupBy("y").count().collect()))
-    ids = [wanted.where(F.col("y") == y).orderBy(hashed_order(F.col("_id")), "_id").limit(MAX_EACH) for y in (0, 1)]
+    ids = [wanted.where(F.col("y") == y).orderBy(hashed_order(F.col("_id")), "_id").limit(max_each) for y in (0, 1)]
     sample = documents.select("doc_id", "text").join(F.broadcast(ids[0].unionAll(ids[1])), F.col("doc_id") == F.col("_id"))
-    sample = sample.select("doc_id", "text", "y").dropDuplicates(["text", "y"])
+    same = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
+    sample = sample.groupBy(same.alias("same"), "y").agg(F.min_by(F.struct("doc_id", "text"), "doc_id").alias("r")).select("r.doc_id", "r.text", "y")
     got = sample.mapInArrow(_bag, "doc_id bigint, y int, terms binary, counts binary").repartition(1).mapInArrow(_select, "model binary").first()
     hashes, chi2, rows = pickle.loads(bytes(got["model"]))
     vocabulary = Vocabulary(hashes)
@@ -251,7 +260,18 @@ def train(documents: DataFrame, labels: DataFrame, usable: Column) -> Index:
     prior = (share.get(1, 0) + 0.5) / (share.get(0, 0) + share.get(1, 0) + 1)
     index = Index(hashes, idf, np.array([r[0] for r in rows], np.int64), y, weights, prior, [(r[2], r[3]) for r in rows])
     del rows, got
-    index.calibrate()
+    spark, n = documents.sparkSession, len(index.examples)
+    shared = spark.sparkContext.broadcast(pickle.dumps(index))
+
+    def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = pickle.loads(shared.value)
+        for batch in batches:
+            got = [x for low in batch.column("id").to_pylist() for x in model.left_out(low * QUERIES, min(n, (low + 1) * QUERIES))]
+            yield pa.RecordBatch.from_arrays([pa.array([v for v, _ in got], pa.float64()), pa.array([r for _, r in got], pa.int64())], ["vote", "row"])
+
+    groups = -(-n // QUERIES)
+    found = spark.range(0, groups, 1, min(64, max(1, groups))).mapInArrow(votes, "vote double, row bigint").collect()  # a row for each example
+    index.calibrate([(r["vote"], r["row"]) for r in found])
     index.examples = []
     return index
 
