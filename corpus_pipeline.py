@@ -20,35 +20,54 @@ LEAST_LANGUAGE = 0.5
 NEAR, AGREEING = 80, 35
 
 
+def boxed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and all columns as one, ``row``, so that no name of an operator meets one of the table."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents with a language; learned from their own labels."""
+    """Keep the documents with a language, learned from their own labels.
+
+    Null and empty texts and texts without a letter have none and go. Rows are judged one by one, so
+    repeats and ties stay or go alike; all columns stay as they are; an empty table stays empty.
+    """
     model = langid.train(docs, F.lit(True))
-    named = langid.predict(docs, model)
-    return named.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE)).select(docs.columns)
+    named = langid.predict(boxed(docs), model)
+    return named.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE)).select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document, that with the smallest id, of each group of near duplicates."""
+    """Keep one document, that with the smallest id, of each group of near duplicates.
+
+    Texts without words are like no other and stay; rows that share a doc_id count as one document and stay
+    or go together; a row without a doc_id goes, for nothing can name it; all columns stay as they are.
+    """
     kept = minhash.near_duplicates(docs, percent=NEAR, threshold=AGREEING).where("kept").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut passages of 50 bytes and more that an earlier document has; documents of which nothing is left go."""
-    rest = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    cut = substrings.repeated_passages(docs, with_text=True, carry=rest).where("n_bytes = 0 or n_removed < n_bytes")
-    columns = {"doc_id": F.col("doc_id"), "text": F.col("kept").alias("text"), "n_chars": F.length("kept").cast("long").alias("n_chars")}
-    return cut.select([columns.get(c, F.col(f"`{c}`")) for c in docs.columns])
+    """Cut passages of 50 bytes and more that an earlier document has; documents of which nothing is left go.
+
+    text and n_chars are those of what is left; the other columns stay as they are. Null texts come back empty; rows of one doc_id and
+    rows without one remove nothing from each other.
+    """
+    cut = substrings.repeated_passages(boxed(docs), with_text=True, carry=["row"]).where("n_bytes = 0 or n_removed < n_bytes")
+    columns = {"text": F.col("kept").alias("text"), "n_chars": F.length("kept").cast(dict(docs.dtypes).get("n_chars", "long")).alias("n_chars")}
+    return cut.select([columns.get(c, F.col(f"row.`{c}`").alias(c)) for c in docs.columns])
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a benchmark item or an edited copy of one."""
+    """Drop documents that hold a benchmark item or an edited copy of one.
+
+    Rows of one doc_id go together; null and empty texts and rows without a doc_id stay; all columns stay as they are.
+    """
     found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
     return docs.join(found, "doc_id", "left_anti").select(docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Buckets and token-budget batches of what is left."""
+    """Buckets and token-budget batches of what is left, a row for each row; null texts have no words."""
     return packing.pack(docs, packing.word_count(F.col("text")))
 
 
