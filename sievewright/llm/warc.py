@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,9 +32,9 @@ RECORD = (
 )
 
 
-def record_id(kind: str, page_id: object, url: str, digest: str, copy: int = 0) -> str:
+def record_id(kind: str, page_id: object, url: str, digest: str, copy: str = "") -> str:
     """``copy`` tells rows apart that agree in all the rest."""
-    return f"<urn:uuid:{uuid.uuid5(SPACE, f'{kind} {page_id} {url} {digest}' + (f' {copy}' if copy else ''))}>"
+    return f"<urn:uuid:{uuid.uuid5(SPACE, f'{kind} {page_id} {url} {digest}{copy}')}>"
 
 
 def _uri(url: str | None, page_id: object) -> str:
@@ -46,8 +47,11 @@ def _member(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return z.compress(head.encode() + block + b"\r\n\r\n") + z.flush()
 
 
-def members(page_id: object, url: str | None, html: bytes, digest: str, first: tuple[object, str | None] | None, date: str, copy: int = 0) -> list[bytes]:
-    """The three members of a capture; ``first`` (page_id and url) makes it a revisit of that response."""
+def members(page_id: object, url: str | None, html: bytes, digest: str, first: tuple[object, str | None] | None, date: str, copy: str = "") -> list[bytes]:
+    """The three members of a capture; ``first`` (page_id and url) makes it a revisit of that response.
+
+    Rows that agree in everything have a ``copy`` each, and name in their metadata the identifier by which revisits know them.
+    """
     uri = _uri(url, page_id)
     me = record_id("response", page_id, uri, digest, copy)
     common = [("WARC-Date", date), ("WARC-Target-URI", uri)]
@@ -59,6 +63,8 @@ def members(page_id: object, url: str | None, html: bytes, digest: str, first: t
         first_uri = _uri(first[1], first[0])
         own += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id("response", first[0], first_uri, digest)), ("WARC-Refers-To-Target-URI", first_uri)]
     kept = f"page_id: {'' if page_id is None else page_id}\r\n".encode()
+    if copy:
+        kept += f"copy-of: {record_id('response', page_id, uri, digest)}\r\n".encode()
     return [
         _member([("WARC-Type", "request"), ("WARC-Record-ID", record_id("request", page_id, uri, digest, copy)), ("WARC-Concurrent-To", me), *common, ("Content-Type", "application/http; msgtype=request")], request),
         _member(own, answer if first else answer + html),
@@ -74,7 +80,7 @@ def write_archives(pages: DataFrame, path: str, least: int = 100, date: str = "2
     rows without a page_id, which nothing refers to. Rows that agree in everything make a capture each. A null html is an
     empty payload, a null url a urn of the page; other columns are ignored; no rows make no
     captures. Only payloads that occur again and rows that repeat are looked up, so the
-    lookups are as small as they are few, and Spark broadcasts them only when their measured size allows.
+    lookup is as small as they are few, and Spark broadcasts it only when its measured size allows.
     """
     html = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select("page_id", "url", html.cast("binary").alias("payload"), F.sha2(html.cast("binary"), 256).alias("digest"))
@@ -82,23 +88,19 @@ def write_archives(pages: DataFrame, path: str, least: int = 100, date: str = "2
     captures = rows.groupBy("row_key", "digest", "page_id", "url").agg(F.count("*").alias("copies"), F.max(F.octet_length("payload")).alias("size"))
     named = F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))
     groups = captures.where(F.col("size") >= least).groupBy("digest").agg(F.sum("copies").alias("n"), F.min(named).alias("first")).where("n > 1")
-    groups = groups.select(F.col("digest").alias("again"), "first")
-    repeats = captures.where("copies > 1").select(F.col("row_key").alias("repeated"), "copies")
-    rows = rows.join(groups, rows.digest == groups.again, "left").join(repeats, rows.row_key == repeats.repeated, "left")
-    rows = rows.select("page_id", "url", "payload", "digest", "row_key", "copies", F.when(F.col("first.page_id") != F.col("page_id"), F.col("first")).alias("first"))
-    once = rows.where("copies is null").select("page_id", "url", "payload", "digest", "first", F.lit(0).alias("copy"))
-    # Rows that agree in everything are one row and its number of copies.
-    whole = F.first(F.struct("page_id", "url", "payload", "digest", "first")).alias("r")
-    many = rows.where("copies is not null").groupBy("row_key", "copies").agg(whole).select("r.*", F.explode(F.sequence(F.lit(0), F.col("copies").cast("int") - 1)).alias("copy"))
-    rows = once.unionByName(many)
+    revisited = F.when(F.col("first.page_id") != F.col("page_id"), F.col("first")).alias("first")
+    known = captures.join(groups.select(F.col("digest").alias("again"), "first"), F.col("digest") == F.col("again"), "left")
+    known = known.select(F.col("row_key").alias("key"), (F.col("copies") > 1).alias("repeated"), revisited).where("repeated or first is not null")
+    rows = rows.join(known, rows.row_key == known.key, "left").select("page_id", "url", "payload", "digest", "first", "repeated")
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, task, copies = [], 0, TaskContext.get().partitionId(), 0
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 for r in batch.slice(k, 256).to_pylist():
                     first = (r["first"]["page_id"], r["first"]["url"]) if r["first"] else None
-                    for m in members(r["page_id"], r["url"], r["payload"], r["digest"], first, date, r["copy"]):
+                    copies += bool(r["repeated"])
+                    for m in members(r["page_id"], r["url"], r["payload"], r["digest"], first, date, f" {task} {copies}" if r["repeated"] else ""):
                         held.append(m)
                         size += len(m)
                     if size >= SEGMENT:

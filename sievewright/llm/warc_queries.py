@@ -16,8 +16,9 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write_archives(table(spark, sf_dir, "pages"), path)
     captures = warc.assemble(warc.read_records(spark, path, with_payload=False))
     page_id = F.try_element_at(F.map_from_entries("metadata.fields"), F.lit("page_id")).try_cast("bigint")
-    flat = staged(captures.select("capture_id", page_id.alias("page_id"), "response.record_type", "response.payload_bytes", "response.payload_digest", F.col("response.refers_to").alias("refers"), "response.digest_ok"), "captures")
-    first = flat.where("record_type = 'response'").select(F.col("capture_id").alias("refers"), F.col("page_id").alias("refers_to"))
+    known = F.coalesce(F.try_element_at(F.map_from_entries("metadata.fields"), F.lit("copy-of")), F.col("capture_id"))
+    flat = staged(captures.select(known.alias("known"), page_id.alias("page_id"), "response.record_type", "response.payload_bytes", "response.payload_digest", F.col("response.refers_to").alias("refers"), "response.digest_ok"), "captures")
+    first = flat.where("record_type = 'response'").select(F.col("known").alias("refers"), F.col("page_id").alias("refers_to")).distinct()
     revisits = flat.where("refers is not null").join(first, "refers", "left")
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     return flat.where("refers is null").withColumn("refers_to", F.lit(None).cast("bigint")).select(columns).unionAll(revisits.select(columns))
