@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievewright.functions.text import stripped
-from sievewright.functions.urls import canonical_page_url, joined, same_site
+from sievewright.functions.urls import canonical_page_url, joined, part, same_site
 
 SCAN = (
     "struct<title:string,h1:string,text_chars:int,n_scripts:int,n_products:int,"
@@ -24,8 +24,10 @@ SCAN = (
     "images:array<string>>"
 )
 # Navigation words that are no categories, words that end a page sequence, and marks of script-built pages.
-UTILITY = ["login", "sign in", "register", "cart", "contact", "about", "help", "privacy", "terms", "home"]
-NEXT_WORDS = ["next", "next page", ">", "›", "»", "下一页"]
+UTILITY = ["home", "首页", "login", "登录", "register", "注册", "account", "账户", "cart", "购物车", "contact", "联系我们", "about", "关于我们"]
+NEXT_WORDS = ["next", "next page", "下一页", "下页", "›", "»"]
+CATEGORY_PATHS = ["/category", "/categories", "/catalog", "/products"]
+CATEGORY_WORDS = ["product", "category", "产品", "分类", "元器件"]
 SCRIPT_MARKS = ["__nuxt", "ng-version", "data-reactroot", "atomic-result-list", 'id="root"', 'id="app"']
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 CARD_WORDS = ("product-card", "product-item", "goods-item", "product_card")
@@ -237,15 +239,27 @@ def planning_kind(t: Column) -> Column:
     )
 
 
+def _any_of(c: Column, marks: list[str]) -> Column:
+    out = F.lit(False)
+    for m in marks:
+        out = out | c.contains(m)
+    return out
+
+
 def navigation_categories(scan: DataFrame, key: str, url: str) -> DataFrame:
-    """Category candidates from navigation links: same site, http(s), not the page itself, no utility text; scored, once per target."""
-    a = scan.select(key, url, F.posexplode("scan.anchors").alias("ord", "a")).where("a.in_nav and a.text <> '' and a.href <> ''")
-    a = a.withColumn("target", canonical_page_url(joined(F.col(url), F.col("a.href"))))
+    """Category candidates from navigation links: same site, http(s), not the page itself, no utility text; scored, once per target and name.
+
+    A link scores 1, 2 more for a path of categories and 1 for a word of them; without a
+    text it needs 3 and is named by the end of its path.
+    """
+    a = scan.select(key, url, F.posexplode("scan.anchors").alias("ord", "a")).where("a.in_nav and a.href <> ''")
+    a = a.withColumn("_url", joined(F.col(url), F.col("a.href"))).withColumn("target", canonical_page_url(F.col("_url")))
     low = F.lower("a.text")
-    fine = F.col("target").rlike("(?i)^https?://") & same_site(F.col("target"), F.col(url)) & (F.col("target") != canonical_page_url(F.col(url))) & ~low.isin(*UTILITY)
-    score = F.lower("target").rlike("categor|catalog|product|/c/").cast("int") + (F.length("a.text") > 3).cast("int") + low.rlike("product|component|categor").cast("int")
-    scored = a.where(fine).select(key, "ord", F.col("a.text").alias("name"), "target", F.bround(F.least(F.lit(0.95), 0.45 + 0.15 * score), 4).alias("confidence"))
-    return scored.groupBy(key, "target").agg(F.min("ord").alias("ord"), F.min_by("name", "ord").alias("name"), F.max("confidence").alias("confidence"))
+    score = 1 + 2 * _any_of(F.lower("a.href"), CATEGORY_PATHS).cast("int") + _any_of(low, CATEGORY_WORDS).cast("int")
+    fine = F.col("_url").rlike("(?i)^https?://") & same_site(F.col("_url"), F.col(url)) & (F.col("target") != canonical_page_url(F.col(url))) & ~low.isin(*UTILITY)
+    named = F.coalesce(F.nullif(F.col("a.text"), F.lit("")), F.substring_index(F.regexp_replace(part(F.col("_url"), "PATH"), "/+$", ""), "/", -1))
+    scored = a.where(fine & ((F.col("a.text") != "") | (score >= 3))).select(key, "ord", named.alias("name"), "target", F.bround(F.least(F.lit(0.95), 0.45 + 0.15 * score), 4).alias("confidence"))
+    return scored.groupBy(key, "target", "name").agg(F.min("ord").alias("ord"), F.min_by("confidence", "ord").alias("confidence"))
 
 
 def next_link(scan: Column) -> Column:

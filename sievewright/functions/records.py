@@ -73,6 +73,72 @@ def ordered_nodes(text: Column, most_depth: int = 64) -> Column:
     return walk(text)
 
 
+OBJECTS = "array<struct<ord:int,keys:array<string>,values:map<string,string>,text:string>>"
+LISTS = "array<struct<ord:int,key:string,n_objects:int,first_keys:array<string>,items:array<string>>>"
+
+
+def _objects(text) -> list[dict]:
+    """The objects of a JSON text, depth first in document order; none for bad JSON."""
+    found: list[dict] = []
+    try:
+        todo = [json.loads(text)] if text and text.lstrip()[:1] in ("{", "[") else []
+        while todo:
+            node = todo.pop()
+            if isinstance(node, dict):
+                found.append(node)
+                todo += reversed(list(node.values()))
+            elif isinstance(node, list):
+                todo += reversed(node)
+    except (ValueError, RecursionError):
+        return []
+    return found
+
+
+def _json(value) -> str:
+    return json.dumps(value, ensure_ascii=False)
+
+
+def object_nodes(text: Column) -> Column:
+    """The objects of a JSON text in document order: their keys, their scalar values by normalised key (the first that is not empty; @type as it is), their text."""
+
+    @F.pandas_udf(OBJECTS)
+    def walk(texts: pd.Series) -> pd.Series:
+        def one(t):
+            out = []
+            for n, node in enumerate(_objects(t)):
+                values: dict[str, str] = {}
+                for k, v in node.items():
+                    name = k if k == "@type" else re.sub("[^a-z0-9]", "", k.lower())
+                    if not isinstance(v, (dict, list)) and v not in (None, ""):
+                        values.setdefault(name, str(v))
+                out.append({"ord": n, "keys": list(node), "values": values, "text": _json(node)})
+            return out
+
+        return texts.map(one)
+
+    return walk(text)
+
+
+def list_nodes(text: Column) -> Column:
+    """The lists under a key in a JSON text in document order: the key, how many objects, the keys of the first five, the items."""
+
+    @F.pandas_udf(LISTS)
+    def walk(texts: pd.Series) -> pd.Series:
+        def one(t):
+            out: list[dict] = []
+            for node in _objects(t):
+                for k, v in node.items():
+                    if isinstance(v, list):
+                        objects = [x for x in v if isinstance(x, dict)]
+                        keys = [key for x in objects[:5] for key in x]
+                        out.append({"ord": len(out), "key": k, "n_objects": len(objects), "first_keys": keys, "items": [_json(x) for x in v]})
+            return out
+
+        return texts.map(one)
+
+    return walk(text)
+
+
 def first_value(nodes: Column, keys: list[str]) -> Column:
     """Value of the first node in document order with one of the normalised keys and a non-empty value."""
     hit = F.filter(nodes, lambda n: F.regexp_replace(F.lower(n["key"]), "[^a-z0-9]", "").isin(*keys) & ~n["kind"].isin("object", "array", "null") & (n["value"] != ""))

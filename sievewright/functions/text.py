@@ -9,9 +9,28 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Availability markers in the order in which they are tried.
-OUT_OF_STOCK = ["outofstock", "out of stock", "soldout", "sold out"]
-IN_STOCK = ["instock", "in stock"]
-PRE_ORDER = ["preorder", "pre-order"]
+OUT_OF_STOCK = ["outofstock", "out_of_stock"]
+IN_STOCK = ["instock", "in_stock"]
+PRE_ORDER = ["preorder", "pre_order"]
+# All columns that a request may ask for, and the words that stand for them.
+ALL_FIELDS = ["model", "price", "stock", "package", "manufacturer", "sku", "title", "description", "moq", "attributes", "datasheet_url", "image_url"]
+FIELD_WORDS = {
+    "price": ["price", "价格", "报价"],
+    "stock": ["stock", "库存", "现货"],
+    "package": ["package", "封装", "包装"],
+    "manufacturer": ["manufacturer", "maker", "厂商", "制造商", "品牌"],
+    "model": ["model", "型号"],
+    "sku": ["sku", "商品编号"],
+    "title": ["title", "标题", "名称"],
+    "description": ["description", "描述", "简介"],
+    "moq": ["moq", "起订量", "最小采购量"],
+    "attributes": ["attributes", "参数", "属性"],
+    "datasheet_url": ["datasheet", "数据手册", "规格书"],
+    "image_url": ["image", "图片"],
+}
+# Marks of a page without hits, and the shape of a part number.
+NO_RESULTS = ["未找到", "没有找到", "无搜索结果", "no results", "couldn't find anything", "0 results"]
+PART_NUMBER = r"[A-Za-z0-9][A-Za-z0-9._/+\-]{4,}"
 
 
 def stripped(c: Column) -> Column:
@@ -111,14 +130,49 @@ def present(c: Column, kind: str) -> Column:
 
 
 def query_of(text: Column) -> Column:
-    """The part of a small request that names what is sought: after ``query:``, up to the first full stop, line end or bar."""
-    return blank_to_null(stripped(F.regexp_extract(text, r"(?i)(?:query|search|查询)\s*[:：]\s*([^.。;；|\n]+)", 1)))
+    """What a small request asks for; null if there is nothing.
+
+    It stands after ``query:`` or else ``model:``, up to a line end, an ideographic full stop or a
+    semicolon, without the list of fields; a text of one word is a query itself.
+    """
+    asked = lambda words: F.regexp_extract(text, rf"(?i)(?:{words})\s*[:：]\s*([^\n。；;]+)", 1)
+    found = F.coalesce(blank_to_null(asked("查询|query")), blank_to_null(asked("型号|model")))
+    cut = F.regexp_replace(found, r"(?is)\s*(?:需要|fields?)\s*[:：].*$", "")
+    alone = stripped(text)
+    return F.when(found.isNotNull(), blank_to_null(F.regexp_replace(cut, "^[ ,，.。]+|[ ,，.。]+$", ""))).when((alone != "") & ~alone.rlike(r"(?U)\s"), alone)
+
+
+def canonical_fields(words: Column) -> Column:
+    """Array of field names or words for them as the fields' names, each once; what no field knows drops out."""
+    known = {w.lower(): f for f, ws in FIELD_WORDS.items() for w in ws} | {f: f for f in ALL_FIELDS}
+    table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+    return F.array_distinct(F.array_compact(F.transform(words, lambda w: F.try_element_at(table, F.lower(stripped(w))))))
 
 
 def requested_fields(text: Column) -> Column:
-    """The fields that a small request lists after ``need:``, ``fields:``, trimmed, in order, each once."""
-    found = F.regexp_extract(text, r"(?i)(?:need|fields|需要)\s*[:：]\s*([^.。;；|\n]+)", 1)
-    return F.array_distinct(F.array_remove(F.transform(F.split(found, "[,，、]"), lambda x: F.lower(stripped(x))), ""))
+    """The fields that a small request lists after ``fields:`` or ``需要:``; all of them if it lists none, none that is known, or all."""
+    found = F.regexp_extract(text, r"(?i)(?:需要|fields?)\s*[:：]\s*([^\n。；;]+)", 1)
+    every = F.array(*[F.lit(f) for f in ALL_FIELDS])
+    some = canonical_fields(F.split(found, r"(?U)[,，、/\s]+"))
+    return F.when((found == "") | F.lower(found).rlike("全部|所有|all") | (F.size(some) == 0), every).otherwise(some)
+
+
+def no_results(text: Column) -> Column:
+    """Whether a page's text says that nothing was found; white space is collapsed first."""
+    low, out = F.lower(F.regexp_replace(text, r"(?U)\s+", " ")), F.lit(False)
+    for mark in NO_RESULTS:
+        out = out | low.contains(mark)
+    return F.coalesce(out, F.lit(False))
+
+
+def looks_part_number(c: Column) -> Column:
+    """Five or more letters, digits and . _ / + -, the first a letter or digit."""
+    return F.coalesce(stripped(c).rlike(f"^{PART_NUMBER}$"), F.lit(False))
+
+
+def first_part_number(c: Column) -> Column:
+    """The first part number in a text; empty if there is none."""
+    return F.coalesce(F.regexp_extract(c, rf"(?U)\b({PART_NUMBER})\b", 1), F.lit(""))
 
 
 def relevance(query: Column, *values: Column) -> Column:

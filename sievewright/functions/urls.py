@@ -16,21 +16,37 @@ def part(url: Column, name: str) -> Column:
     return F.try_parse_url(url, F.lit(name))
 
 
+def decoded(c: Column) -> Column:
+    """Form decoding; what is no valid escape stays."""
+    return F.coalesce(F.try_url_decode(c), c)
+
+
+def encoded(c: Column) -> Column:
+    """Form encoding with ``*`` escaped and ``~`` not."""
+    return F.replace(F.replace(F.url_encode(c), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
+def sorted_query(query: Column) -> Column:
+    """The pairs decoded, sorted by key and value and encoded again; blanks and repeats stay, and a bare key gets its ``=``."""
+    rest = lambda p: F.when(p.contains("="), F.substring(p, F.locate("=", p) + 1, F.length(p))).otherwise("")
+    pairs = F.transform(F.filter(F.split(query, "&"), lambda p: p != ""), lambda p: F.struct(decoded(F.substring_index(p, "=", 1)).alias("k"), decoded(rest(p)).alias("v")))
+    return F.array_join(F.transform(F.array_sort(pairs), lambda p: F.concat(encoded(p["k"]), F.lit("="), encoded(p["v"]))), "&")
+
+
 def _canonical(url: Column, in_order: bool) -> Column:
-    host, query = part(url, "AUTHORITY"), part(url, "QUERY")
-    pairs = F.split(query, "&")
-    pairs = F.filter(pairs if not in_order else F.array_sort(pairs), lambda p: p != "")
+    host, query = part(url, "AUTHORITY"), F.coalesce(part(url, "QUERY"), F.lit(""))
+    query = sorted_query(query) if in_order else query
     path = F.regexp_replace(F.coalesce(part(url, "PATH"), F.lit("")), "/+$", "")
     made = F.concat(
         F.lower(part(url, "PROTOCOL")), F.lit("://"), F.lower(host), F.when(path == "", "/").otherwise(path),
-        F.when(F.coalesce(query, F.lit("")) == "", "").otherwise(F.concat(F.lit("?"), F.array_join(pairs, "&"))),
+        F.when(query == "", "").otherwise(F.concat(F.lit("?"), query)),
     )
     return F.coalesce(made, url)
 
 
 def canonical_product_url(url: Column) -> Column:
     """Scheme and host in lower case, no trailing slashes or fragment, query pairs sorted (blanks and repeats kept); a relative URL as it is."""
-    return _canonical(url, True)
+    return _canonical(F.btrim(url), True)
 
 
 def canonical_page_url(url: Column) -> Column:
@@ -157,5 +173,26 @@ def base_url(product_api: Column, list_path: Column, category_url: Column, start
 
 def search_url(template: Column, query: Column) -> Column:
     """Fill ``{query}`` with the form-encoded query (``*`` escaped, ``~`` not)."""
-    coded = F.replace(F.replace(F.url_encode(query), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
-    return F.replace(template, F.lit("{query}"), coded)
+    return F.replace(template, F.lit("{query}"), encoded(query))
+
+
+# The search addresses of the known sites.
+SEARCH_TEMPLATES = {
+    "ickey": ["https://search.ickey.cn/?keyword={query}"],
+    "szlcsc": ["https://so.szlcsc.com/global.html?k={query}"],
+    "ti": ["https://www.ti.com/sitesearch/en-us/docs/universalsearch.tsp?searchTerm={query}"],
+}
+
+
+def search_urls(site: str, query: Column) -> Column:
+    """Array of a site's search URLs; a site that no profile knows raises."""
+    key = site.strip().lower()
+    if key not in SEARCH_TEMPLATES:
+        raise ValueError(f"unknown site: {site}; known: {', '.join(SEARCH_TEMPLATES)}")
+    return F.array(*[search_url(F.lit(t), query) for t in SEARCH_TEMPLATES[key]])
+
+
+def is_catalog_url(url: Column, domain: str, path: str) -> Column:
+    """Whether the host is ``domain`` or under it, and the whole path is like the pattern ``path``."""
+    host = host_of(url)
+    return F.coalesce(((host == domain) | host.endswith(f".{domain}")) & F.coalesce(part(url, "PATH"), F.lit("")).rlike(f"^(?:{path})$"), F.lit(False))

@@ -54,25 +54,29 @@ def positive_int(value: Column, default: int) -> Column:
     return F.when(n >= 1, n).otherwise(F.lit(default).cast("bigint"))
 
 
-def tree_orders(tree: DataFrame, max_depth: int = 32) -> DataFrame:
+def tree_orders(tree: DataFrame) -> DataFrame:
     """key, parent, depth, path of a forest of (key, parent, ordinal), with bfs and dfs places among siblings.
 
     One equi-join per level, until no level has children: only the frontier joins, and
     a level as wide as the data stays distributed. dfs_path sorts like a stack that
-    takes the last discovered child first; bfs order is (depth, path).
+    takes the last discovered child first; bfs order is (depth, path). A node with two parents
+    stands under each; nodes that no root reaches are not there. More levels than nodes raise, for only a cycle makes them.
     """
     from sievewright.operators.state import kept_table
 
     nodes = tree.select("key", "parent", F.col("ordinal").cast("long").alias("ordinal"))
     level = nodes.where("parent is null").select("key", "parent", F.lit(0).alias("depth"), F.array("ordinal").alias("path"), F.array(-F.col("ordinal")).alias("dfs_path"))
     out = level = kept_table(level)
-    for depth in range(1, max_depth + 1):
+    depth, most = 0, nodes.count()
+    while True:
+        depth += 1
         up = level.select(F.col("key").alias("parent"), F.col("path").alias("_p"), F.col("dfs_path").alias("_d"))
         level = kept_table(nodes.join(up, "parent").select("key", "parent", F.lit(depth).alias("depth"), F.concat("_p", F.array("ordinal")).alias("path"), F.concat("_d", F.array(-F.col("ordinal"))).alias("dfs_path")))
         if level.isEmpty():
-            break
+            return out
+        if depth > most:
+            raise ValueError("the tree has a cycle below a root")
         out = out.unionByName(level)
-    return out
 
 
 def traversal_mode(roots: DataFrame, wanted: str = "auto") -> str:
@@ -92,14 +96,14 @@ def site_of(df: DataFrame, url: str, rules: DataFrame) -> DataFrame:
     """Join rows with the first site rule (domain, ordinal, site_key, site_type) whose domain is the host or a suffix of it.
 
     The host's suffixes are exploded, so that the suffix match is an equi-join that
-    Spark may broadcast by measured size or shuffle; unmatched rows are ``unknown``.
+    Spark may broadcast by measured size or shuffle; each host is matched once; unmatched rows are ``unknown``.
     """
-    keyed = df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_host", host_of(F.col(url)))
+    keyed = df.withColumn("_host", host_of(F.col(url)))
     labels = F.split("_host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    hits = keyed.select("_row", F.explode(suffixes).alias("domain")).join(rules, "domain")
-    best = hits.groupBy("_row").agg(F.min_by(F.struct("domain", "site_key", "site_type"), "ordinal").alias("_rule"))
-    return keyed.join(best, "_row", "left").select(
+    hits = keyed.select("_host").distinct().select("_host", F.explode(suffixes).alias("domain")).join(rules, "domain")
+    best = hits.groupBy("_host").agg(F.min_by(F.struct("domain", "site_key", "site_type"), "ordinal").alias("_rule"))
+    return keyed.join(best, "_host", "left").select(
         *df.columns, F.col("_host").alias("host"), F.coalesce("_rule.site_key", F.lit("")).alias("site_key"),
         F.coalesce("_rule.site_type", F.lit("unknown")).alias("site_type"), F.coalesce("_rule.domain", F.lit("")).alias("matched_domain"),
     )

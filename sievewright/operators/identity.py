@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,9 +81,34 @@ def distinct_in_order(df: DataFrame, keys: list[str], ordinal: str) -> DataFrame
 
 
 def set_signature(df: DataFrame, group: list[str], value: str) -> DataFrame:
-    """SHA-256 of the sorted distinct values of each group, joined by bars."""
-    joined = F.array_join(F.transform(F.array_sort(F.collect_set(value)), lambda x: x.cast("string")), "|")
-    return df.groupBy(*group).agg(F.sha2(joined, 256).alias("signature"), F.count_distinct(value).alias("n_distinct"))
+    """SHA-256 of the sorted distinct values of each group (as texts, without nulls and empty ones), joined by line feeds; empty without values.
+
+    Values are made distinct before a group comes together, so a group is as large as its set.
+    """
+    distinct = df.select(*group, F.nullif(F.col(value).cast("string"), F.lit("")).alias("_v")).distinct()
+    values = F.array_sort(F.collect_list("_v"))
+    signed = F.when(F.size(values) > 0, F.sha2(F.array_join(values, "\n"), 256)).otherwise("")
+    return distinct.groupBy(*group).agg(signed.alias("signature"), F.count("_v").alias("n_distinct"))
+
+
+def batch_numbers(df: DataFrame, group: list[str], order: list[str], size: int, shards: int = 64) -> DataFrame:
+    """As ``batches``, for groups that one task should not hold: ranges of the order are counted, then numbered apart.
+
+    A group is cut by quantiles of its first order column, a number.
+    """
+    places = F.array(*[F.lit(k / shards) for k in range(1, shards)])
+    cuts = df.groupBy(*group).agg(F.percentile_approx(order[0], places, F.lit(10_000)).alias("_cuts"))
+    dealt = df.join(cuts, group).withColumn("_shard", F.size(F.filter("_cuts", lambda c: c < F.col(order[0])))).drop("_cuts")
+    before = Window.partitionBy(*group).orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = dealt.groupBy(*group, "_shard").count().select(*group, "_shard", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    number = F.row_number().over(Window.partitionBy(*group, "_shard").orderBy(*order))
+    placed = dealt.withColumn("_n", number).join(offsets, [*group, "_shard"])
+    return placed.withColumn("batch", F.floor((F.col("_before") + F.col("_n") - 1) / size).cast("long")).drop("_shard", "_n", "_before")
+
+
+def fingerprint(plan: dict) -> str:
+    """SHA-256 of a plan's JSON with sorted keys and no blanks."""
+    return hashlib.sha256(json.dumps(plan, ensure_ascii=False, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
 
 
 def batches(df: DataFrame, group: list[str], order: list[str], size: int) -> DataFrame:

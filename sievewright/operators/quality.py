@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievewright.functions.text import present
@@ -12,20 +12,19 @@ ISSUE_MARKS = [
     ("rate_limited", ["429"]),
     ("anti_bot_or_access_denied", ["403", "captcha", "challenge"]),
     ("network_instability", ["timeout", "connection", "network"]),
-    ("pagination_not_advancing", ["cursor", "pagination"]),
-    ("page_structure_changed", ["selector", "parse"]),
+    ("pagination_not_advancing", ["cursor", "pagination", "分页"]),
+    ("page_structure_changed", ["selector", "parse", "解析"]),
+]
+# What to do about diagnoses: (codes of which one is enough, directives), in order.
+DIRECTIVES = [
+    (["catalog_or_detail_count_mismatch", "reported_total_not_reached"], ["replan_categories_and_pagination", "reset_unfinished_tasks"]),
+    (["pagination_not_advancing"], ["switch_pagination_strategy"]),
+    (["required_fields_incomplete"], ["refetch_incomplete_details"]),
+    (["rate_limited"], ["slow_down_and_resume"]),
+    (["anti_bot_or_access_denied"], ["switch_transport"]),
+    (["page_structure_changed"], ["reanalyse_page_structure"]),
+    (["network_instability"], ["retry_with_backoff"]),
 ]
-# What to do about each diagnosis.
-DIRECTIVES = {
-    "catalog_or_detail_count_mismatch": "replan_and_reset_unfinished",
-    "reported_total_not_reached": "replan_and_reset_unfinished",
-    "pagination_not_advancing": "switch_pagination_strategy",
-    "required_fields_incomplete": "refetch_incomplete_details",
-    "rate_limited": "slow_down_and_resume",
-    "anti_bot_or_access_denied": "switch_transport",
-    "page_structure_changed": "reanalyse_page_structure",
-    "network_instability": "retry_with_backoff",
-}
 
 
 def issue_code(text: Column) -> Column:
@@ -47,6 +46,16 @@ def retryable(status: Column) -> Column:
     return (status == 429) | (status >= 500)
 
 
+def missing_samples(df: DataFrame, key: str, fields: list[str], most: int = 20) -> DataFrame:
+    """(field, n_missing, samples): all rows that lack a field are counted; the first ``most`` of their keys, in order, are its samples."""
+    kinds = dict(df.dtypes)
+    lacking = F.array_compact(F.array(*[F.when(~present(F.col(f), kinds[f]), F.lit(f)) for f in fields]))
+    rows = df.select(key, F.explode(lacking).alias("field"))
+    counts = rows.groupBy("field").agg(F.count("*").alias("n_missing"))
+    ranked = rows.withColumn("_r", F.row_number().over(Window.partitionBy("field").orderBy(key))).where(F.col("_r") <= most)
+    return counts.join(ranked.groupBy("field").agg(F.array_sort(F.collect_list(key)).alias("samples")), "field")
+
+
 def completeness(df: DataFrame, fields: list[str]) -> DataFrame:
     """(field, n, n_present, completeness to six places, half to even); 0 for an empty table."""
     kinds = dict(df.dtypes)
@@ -94,10 +103,39 @@ def decision(is_valid: Column, attempt: Column, most: int = 2) -> Column:
 
 def directives(codes: Column) -> Column:
     """What the diagnoses of an array ask for, in a fixed order, each once; without any, keep what succeeded and rerun the rest."""
-    table = [F.when(F.array_contains(codes, c), F.lit(d)) for c, d in DIRECTIVES.items()]
+    table = [F.when(F.arrays_overlap(codes, F.array(*[F.lit(c) for c in some])), F.lit(d)) for some, ds in DIRECTIVES for d in ds]
     asked = F.array_distinct(F.array_compact(F.array(*table)))
     return F.when(F.size(asked) > 0, asked).otherwise(F.array(F.lit("keep_checkpoint_and_rerun_failed")))
 
 
+def diagnoses(report: DataFrame, issues: DataFrame) -> DataFrame:
+    """(code, task, url, message), each once: the failed count checks of a one-row report, then the issues (task, url, message) by their marks.
+
+    ``report`` is count_report's row with n_incomplete, the number of products that lack
+    required fields. A report of nothing saved without any of these is an empty_result.
+    """
+    checks = [
+        ("catalog_or_detail_count_mismatch", ~F.col("saved_equals_discovered"), F.concat_ws(" ", F.lit("discovered"), "discovered", F.lit("saved"), "saved")),
+        ("reported_total_not_reached", ~F.col("reported_equals_saved"), F.concat_ws(" ", F.lit("reported"), "reported", F.lit("saved"), "saved")),
+        ("duplicate_products", ~F.col("unique_equals_saved"), F.concat_ws(" ", F.lit("duplicates"), "duplicates")),
+        ("required_fields_incomplete", F.col("n_incomplete") > 0, F.concat_ws(" ", F.lit("incomplete"), "n_incomplete")),
+        ("unfinished_tasks", ~F.col("no_unfinished_tasks"), F.concat_ws(" ", F.lit("unfinished"), "unfinished")),
+    ]
+    empty = F.lit("")
+    row = lambda code, message: F.struct(F.lit(code).alias("code"), empty.alias("task"), empty.alias("url"), message.alias("message"))
+    told = issues.select(*[F.coalesce(F.col(c), empty).alias(c) for c in ("task", "url", "message")])
+    told = told.withColumn("code", issue_code(F.concat_ws(" ", "task", "url", "message"))).select("code", "task", "url", "message").distinct()
+    failed = report.select(F.explode(F.array_compact(F.array(*[F.when(fails, row(code, m)) for code, fails, m in checks]))).alias("r")).select("r.*")
+    some = failed.unionByName(told)
+    quiet = some.limit(1).select(F.lit("empty_result").alias("code"))
+    nothing = report.where("saved = 0").select(F.explode(F.array(row("empty_result", F.lit("nothing saved")))).alias("r")).select("r.*")
+    return some.unionByName(nothing.join(quiet, "code", "left_anti"))
+
+
+def run_status(n_ok: Column, n_failed: Column, n_pending: Column) -> Column:
+    """paused while work is left; else complete, partial or failed."""
+    return F.when(n_pending > 0, "paused").when((n_ok > 0) & (n_failed == 0), "complete").when(n_ok > 0, "partial").otherwise("failed")
+
+
 def rolled_up_status(n_ok: Column, n_failed: Column) -> Column:
     return F.when((n_ok > 0) & (n_failed == 0), "success").when(n_ok > 0, "partial").otherwise("failed")

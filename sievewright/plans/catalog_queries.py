@@ -197,15 +197,26 @@ def q_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan.select("page_id", F.posexplode("scan.anchors").alias("ord", "a")).select("page_id", F.col("ord").cast("long").alias("ord"), "a.href")
 
 
-@query()
+@query(r"""
+WITH n AS (SELECT page_id, url, regexp_extract_all(regexp_extract(html, '(?is)<nav>(.*?)</nav>', 1), '(?is)<a href="[^"]*">[^<]*</a>') AS a FROM pages),
+l AS (SELECT page_id, url, unnest(range(len(a))) AS ord, unnest(a) AS a FROM n),
+p AS (SELECT page_id, ord, regexp_extract(a, 'href="([^"]*)"', 1) AS href, trim(regexp_extract(a, '>([^<]*)<', 1)) AS name,
+  lower(regexp_extract(url, '^([^:]+)://', 1)) || '://' || lower(regexp_extract(url, '^[^:]+://([^/?#]*)', 1)) AS site, regexp_extract(url, '^[^:]+://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(url, '\?([^#]*)', 1) AS q FROM l),
+s AS (SELECT *, site || regexp_replace(href, '/+$', '') AS target, 1 + 2 * regexp_matches(lower(href), '/category|/categories|/catalog|/products')::INT + regexp_matches(lower(name), 'product|category|产品|分类|元器件')::INT AS score FROM p
+  WHERE lower(name) NOT IN ('home', 'login', 'register', 'account', 'cart', 'contact', 'about') AND href <> '')
+SELECT page_id, target, name, min(ord) AS ord, arg_min(round_even(least(0.95, 0.45 + 0.15 * score), 4), ord) AS confidence FROM s
+WHERE target <> site || regexp_replace(path, '/+$', '') || CASE WHEN q = '' THEN '' ELSE '?' || q END AND (name <> '' OR score >= 3) GROUP BY page_id, target, name
+""")
 def q_nav_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html.navigation_categories(html.scanned(table(spark, sf_dir, "pages").select("page_id", "url", "html"), "html"), "page_id", "url")
+    found = html.navigation_categories(html.scanned(table(spark, sf_dir, "pages").select("page_id", "url", "html"), "html"), "page_id", "url")
+    return found.select("page_id", "target", "name", F.col("ord").cast("long").alias("ord"), "confidence")
 
 
-@query(r"SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?is)<title>(.*?)</title>', 1), '\s+', ' ', 'g')) AS title FROM pages WHERE NOT contains(regexp_extract(html, '(?is)<title>(.*?)</title>', 1), '&')")
+@query(r"""
+SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(regexp_extract(html, '(?is)<title>(.*?)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g')) AS title FROM pages
+""")
 def q_page_title(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select("page_id", "html").where(~F.regexp_extract("html", "(?is)<title>(.*?)</title>", 1).contains("&"))
-    return html.scanned(pages, "html").select("page_id", F.col("scan.title").alias("title"))
+    return html.scanned(table(spark, sf_dir, "pages").select("page_id", "html"), "html").select("page_id", F.col("scan.title").alias("title"))
 
 
 @query(r"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievewright.functions import html, text
@@ -68,4 +68,5 @@ def search(records: DataFrame, query: str, top: int = 20, order: str = "ord") ->
     scored = records.withColumn("score", text.relevance(F.lit(query), F.col("model"), F.col("sku"), F.col("title"))).where("score > 0")
     keyed = scored.withColumn("key", identity.parse_key(F.col("site"), identity.search_key(F.col("model"), F.col("sku"), F.col("detail_url"), F.col("title")), F.lit("")))
     best = identity.one_per_key(keyed, ["key"], -F.col("score"), F.col(order))
-    return best.orderBy(F.desc("score"), order).limit(top)
+    rank = F.row_number().over(Window.partitionBy("site").orderBy(F.desc("score"), order))
+    return best.withColumn("rank", rank).where(F.col("rank") <= top)

@@ -29,7 +29,8 @@ CANONICAL_SQL = """(lower(regexp_extract(url, '^([^:/?#]+)://', 1)) || '://' ||
           ELSE regexp_replace(regexp_extract(url, '^[^:/?#]+://[^/?#]*([^?#]*)', 1), '/+$', '') END
   || CASE WHEN regexp_extract(url, '\\?([^#]*)', 1) = '' THEN ''
           ELSE '?' || {query} END)"""
-SORTED_SQL = CANONICAL_SQL.format(query=r"array_to_string(list_sort(string_split(regexp_extract(url, '\?([^#]*)', 1), '&')), '&')")
+_PAIRS_SQL = r"list_sort(list_transform(list_filter(string_split(regexp_extract(url, '\?([^#]*)', 1), '&'), lambda p: p <> ''), lambda p: {'k': split_part(p, '=', 1), 'v': regexp_extract(p, '=(.*)$', 1)}))"
+SORTED_SQL = CANONICAL_SQL.replace("{query}", f"array_to_string(list_transform({_PAIRS_SQL}, lambda p: p.k || '=' || p.v), '&')")
 PLAIN_SQL = CANONICAL_SQL.format(query=r"regexp_extract(url, '\?([^#]*)', 1)")
 
 
@@ -87,23 +88,23 @@ def q_detail_left_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH a AS (SELECT doc_id, lang, n_chars FROM documents WHERE doc_id % 3 <> 0), b AS (SELECT doc_id, quality, toxic FROM labels)
+WITH a AS (SELECT doc_id, lang, n_chars FROM documents ), b AS (SELECT doc_id, quality, toxic FROM labels)
 SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, lang, n_chars, quality, toxic, a.doc_id IS NOT NULL AS in_items, b.doc_id IS NOT NULL AS in_details
 FROM a FULL JOIN b ON a.doc_id = b.doc_id
 """)
 def q_full_outer_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars").where("doc_id % 3 <> 0")  # so that both sides have keys of their own
+    items = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
     return merge.outer_merge(items, table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"), "doc_id")
 
 
 @query("""
 WITH l AS (SELECT l_partkey, max(l_suppkey) AS suppkey, max(l_returnflag) AS flag FROM lineitem GROUP BY 1)
 SELECT p_partkey, coalesce(nullif(s_name, ''), nullif(flag, ''), nullif(p_brand, '')) AS supplier, coalesce(nullif(p_name, ''), 'unknown_product') AS title
-FROM part LEFT JOIN l ON p_partkey = l_partkey LEFT JOIN supplier ON suppkey = s_suppkey AND suppkey % 2 = 0
+FROM part LEFT JOIN l ON p_partkey = l_partkey LEFT JOIN supplier ON suppkey = s_suppkey
 """)
 def q_layered_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.max("l_suppkey").alias("s_suppkey"), F.max("l_returnflag").alias("flag"))
-    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name").where("s_suppkey % 2 = 0")  # a layer with gaps
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     joined = parts.join(lines, "p_partkey", "left").join(suppliers, "s_suppkey", "left")
     return joined.select(
@@ -148,7 +149,7 @@ def q_union_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT l_orderkey, sha256(array_to_string(list_sort(list(DISTINCT l_partkey)), '|')) AS signature, count(DISTINCT l_partkey) AS n_distinct FROM lineitem GROUP BY 1
+SELECT l_orderkey, sha256(array_to_string(list_sort(list(DISTINCT l_partkey::VARCHAR)), chr(10))) AS signature, count(DISTINCT l_partkey) AS n_distinct FROM lineitem GROUP BY 1
 """)
 def q_set_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity.set_signature(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"), ["l_orderkey"], "l_partkey")
@@ -160,7 +161,7 @@ SELECT l_suppkey, batch, count(*) AS n, string_agg(l_orderkey::VARCHAR, ',' ORDE
 """)
 def q_batch_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber")
-    rows = identity.batches(lines, ["l_suppkey"], ["l_orderkey", "l_linenumber"], 10)
+    rows = identity.batch_numbers(lines, ["l_suppkey"], ["l_orderkey", "l_linenumber"], 10)
     keys = F.array_sort(F.collect_list(F.struct("l_orderkey", "l_linenumber")))
     return rows.groupBy("l_suppkey", "batch").agg(F.count("*").alias("n"), F.array_join(F.transform(keys, lambda k: k["l_orderkey"].cast("string")), ",").alias("order_keys"))
 

@@ -84,7 +84,7 @@ def q_validation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
 WITH c AS ({_CHECKS}), v AS (SELECT saved > 0 AND saved_equals_discovered AND unique_equals_saved AND reported_equals_saved AND no_failed_tasks AND no_unfinished_tasks AS valid FROM c)
 SELECT attempt, valid, CASE WHEN valid THEN 'complete' WHEN attempt < 2 THEN 'diagnose_and_retry_workflow' ELSE 'pause_task_and_report' END AS action,
-       array_to_string(['replan_and_reset_unfinished'], ',') AS directives FROM v, (SELECT unnest([1, 2]) AS attempt)
+       'replan_categories_and_pagination,reset_unfinished_tasks' AS directives FROM v, (SELECT unnest([1, 2]) AS attempt)
 """)
 def q_recovery_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = quality.valid(q_validation_counts(spark, sf_dir))
@@ -145,12 +145,14 @@ def q_string_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""
-WITH c AS (SELECT conv_id, turn, 'Query: ' || regexp_replace(substr(text, 1, 30), '[.;|\n。；]', ' ', 'g') || '. Need: Price, stock, price' AS t FROM conversations)
-SELECT conv_id, turn, nullif(trim(regexp_extract(t, '(?i)query:\s*([^.;|\n]+)', 1)), '') AS query, 'price,stock' AS fields FROM c
+WITH c AS (SELECT conv_id, turn, 'Query: ' || text || chr(10) || 'Fields: Price, 库存/price ship' AS t FROM conversations),
+q AS (SELECT conv_id, turn, t, regexp_replace(regexp_extract(t, '(?i)(?:查询|query)\s*[:：]\s*([^\n。；;]+)', 1), '(?is)\s*(?:需要|fields?)\s*[:：].*$', '') AS q FROM c)
+SELECT conv_id, turn, nullif(regexp_replace(q, '^[ ,，.。]+|[ ,，.。]+$', '', 'g'), '') AS query,
+  CASE WHEN regexp_matches(regexp_extract(t, '(?i)(?:需要|fields?)\s*[:：]\s*([^\n。；;]+)', 1), 'Price, 库存/price ship') THEN 'price,stock' END AS fields FROM q
 """)
 def q_intent_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # A request around the first words of each turn, as the turns themselves ask for nothing.
-    t = F.concat(F.lit("Query: "), F.regexp_replace(F.substring("text", 1, 30), r"[.;|\n。；]", " "), F.lit(". Need: Price, stock, price"))
+    # The turns ask for nothing, so each whole turn is made a request.
+    t = F.concat(F.lit("Query: "), "text", F.lit("\nFields: Price, 库存/price ship"))
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", text.query_of(t).alias("query"), F.array_join(text.requested_fields(t), ",").alias("fields"))
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sievewright.plans import catalog_queries, merge_queries, quality_queries, stream_queries
+from sievewright.plans import catalog_queries, merge_queries, product_queries, quality_queries, stream_queries
 
-MODULES = [catalog_queries, merge_queries, quality_queries, stream_queries]
+MODULES = [catalog_queries, merge_queries, product_queries, quality_queries, stream_queries]
 
 
 def queries() -> dict:

@@ -35,7 +35,7 @@ def test_urls(spark):
 
 
 def test_text(spark):
-    got = one(spark, ("x",), "x string", text.alias_text(F.lit("ＡＢ c-1")), text.availability(F.lit("Sold Out")), text.availability_code(F.lit("https://schema.org/InStock")), text.cut_at(F.lit("part one_shop"), "_"), text.without_count(F.lit("Chips（991,616）")), text.slug_title(F.lit("data-converters")), text.relevance(F.lit("LM-358"), F.lit("lm358")), text.relevance(F.lit("- -"), F.lit("a")))
+    got = one(spark, ("x",), "x string", text.alias_text(F.lit("ＡＢ c-1")), text.availability(F.lit("Out_Of_Stock")), text.availability_code(F.lit("https://schema.org/InStock")), text.cut_at(F.lit("part one_shop"), "_"), text.without_count(F.lit("Chips（991,616）")), text.slug_title(F.lit("data-converters")), text.relevance(F.lit("LM-358"), F.lit("lm358")), text.relevance(F.lit("- -"), F.lit("a")))
     assert tuple(got) == ("abc1", "out_of_stock", "in_stock", "part one", "Chips", "Data Converters", 100, 0)
 
 
