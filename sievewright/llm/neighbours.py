@@ -116,6 +116,19 @@ class Index:
         self.most = np.maximum.reduceat(self.values, self.starts[:-1]) if len(terms) else np.zeros(0)
         self.at = np.searchsorted(terms[cut], np.arange(t + 1))
 
+    def __getstate__(self) -> dict:
+        """What the lists are made of; they are made again where they are read, which is less to send."""
+        flat = [np.concatenate([e[k] for e in self.examples]).astype(np.int32) if self.examples else np.zeros(0, np.int32) for k in (0, 1)]
+        kept = ("hashes", "idf", "doc_ids", "labels", "weights", "prior", "steps")
+        return {k: getattr(self, k) for k in kept} | {"flat": flat, "sizes": np.array([len(x) for x, _ in self.examples], int)}
+
+    def __setstate__(self, state: dict) -> None:
+        terms, counts = state.pop("flat")
+        cut = np.cumsum(state.pop("sizes"))[:-1]
+        self.__dict__ |= state
+        self.examples = list(zip(np.split(terms, cut), np.split(counts, cut))) if len(self.doc_ids) else []
+        self.__post_init__()
+
     def weigh(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         w = (1 + np.log(counts)) * self.idf[terms]
         return w / max(1e-12, np.sqrt((w * w).sum()))
@@ -271,8 +284,8 @@ def train(documents: DataFrame, labels: DataFrame, usable: Column, max_each: int
 
     groups = -(-n // QUERIES)
     found = spark.range(0, groups, 1, min(64, max(1, groups))).mapInArrow(votes, "vote double, row bigint").collect()  # a row for each example
+    shared.unpersist()
     index.calibrate([(r["vote"], r["row"]) for r in found])
-    index.examples = []
     return index
 
 
