@@ -18,11 +18,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievewright.llm import textbytes as tb
-from sievewright.llm.common import sample_of
+from sievewright.llm.common import hashed_order
 
 BITS, ORDERS = 15, 3
 SIZE = 1 << BITS
@@ -144,11 +144,12 @@ class Model:
     table: np.ndarray
 
 
-def train(documents: DataFrame, usable: Column, max_train_rows: int = 3000) -> Model | None:
+def train(documents: DataFrame, usable: Column, max_each: int = 750) -> Model | None:
     """Learn from the rows where ``usable`` holds and lang and text are not null; None if there are none.
 
-    Document frequencies count all those rows; the weights see at most ``max_train_rows``
-    of them, in a fixed hashed order.
+    Document frequencies count all those rows; the weights see at most ``max_each`` of each
+    language, first in a fixed hashed order, so a rare language is learned like any other. Rows that repeat
+    count each time and ties are broken by doc_id; columns other than doc_id, text and lang are not read.
     """
     rows = documents.select("doc_id", "text", "lang").where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
     df = rows.select("text").mapInArrow(_count_documents, "feature int, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
@@ -159,7 +160,8 @@ def train(documents: DataFrame, usable: Column, max_train_rows: int = 3000) -> M
     idf = np.zeros(SIZE)
     at = np.fromiter(counts, int)
     idf[at] = np.log((1 + total) / (1 + np.fromiter(counts.values(), int))) + 0.1
-    ids = sample_of(rows.select(F.col("doc_id").alias("_id")), "_id", max_train_rows)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(hashed_order(F.col("_id")), "_id"))
+    ids = rows.select(F.col("doc_id").alias("_id"), "lang").withColumn("_place", place).where(F.col("_place") <= max_each).select("_id")
     sample = rows.join(F.broadcast(ids), F.col("doc_id") == F.col("_id"), "left_semi").mapInArrow(_sparse, "doc_id bigint, lang string, ids binary, tf binary")
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -242,3 +242,30 @@ def test_buckets_do_not_depend_on_the_order_of_their_rows():
         schema = suffix_tree.chunked.sent([]).schema
         said = [sorted(map(str, suffix_tree._grow(corpus)(pa.Table.from_pylist(x, schema)).to_pylist())) for x in (mine, mine[::-1], mine[1:] + mine[:1])]
         assert said[0] == said[1] == said[2]
+
+
+def test_langid_learns_a_rare_language(spark):
+    """Twelve rows of a language among a thousand, which a sample over all languages would all but miss."""
+    rows = [(k, f"the dog was big number{k % 7} here", "en") for k in range(1000)] + [(2000 + k, f"le chat est grand ici{k % 3} encore", "fr") for k in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    model = langid.train(docs, F.lit(True), max_each=20)
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(docs, model).collect()}
+    assert model.languages == ("en", "fr") and all(got[i] == lang for i, _, lang in rows)
+
+
+def test_compiled_rules_equal_numpy(spark):
+    """The Column of a rule ensemble and that of a decision list say what the rules say of the same numbers."""
+    rng = np.random.default_rng(8)
+    texts = [(k, " ".join(rng.choice(["alpha", "b#ta", "GAMMA", "d1lta,", "x"], rng.integers(0, 90))) + "\nsame line\nsame line" * int(rng.integers(0, 2))) for k in range(150)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = textstats.with_counts(docs).select("doc_id", *[c.alias(n) for n, c in textstats.feature_columns().items()]).orderBy("doc_id").collect()
+    x = np.array([r[1:] for r in rows], float)
+    y = (x[:, 2] < np.median(x[:, 2])).astype(float)
+    model = rule_ensemble.fit(x, y)
+    got = {r["doc_id"]: r["score"] for r in rule_ensemble.score(docs, model).collect()}
+    assert model.rules and np.allclose([got[k] for k in range(150)], model.predict(x))
+    rules = decision_list.learn(x, y < 0.5, min_precision=0.5)
+    verdicts = {r["doc_id"]: r for r in decision_list.quality_rules(docs, rules).collect()}
+    want = [next((n for n, rule in enumerate(rules, 1) if rule.holds(x[k : k + 1])[0]), 0) for k in range(150)]
+    assert rules and [verdicts[k]["rule"] for k in range(150)] == want
+    assert all(v["kept"] == (not v["base_failed"] and v["rule"] == 0) for v in verdicts.values())
