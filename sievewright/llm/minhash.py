@@ -137,7 +137,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
 
 
 def _collide(threshold: int, limit: float):
-    """A spanning forest of the candidate pairs of every list."""
+    """A spanning forest of the candidate pairs of every list, from its smallest nodes on, so that lists of the same nodes give the same pairs."""
 
     def forest(sig: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, int]]:
         left = np.arange(1, len(size))
@@ -269,14 +269,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, threshol
     )
     lists = (
         _dealt(prefixes, "token", block).join(standing.select(F.col("doc_id").alias("node"), "n_shingles", "signature"), "node")
-        .repartition("token", "part").sortWithinPartitions("token", "part").select("token", "part", "node", "n_shingles", "signature")
+        .repartition("token", "part").sortWithinPartitions("token", "part", "node").select("token", "part", "node", "n_shingles", "signature")
     )
     clusters = components(lists.mapInArrow(_collide(threshold, percent / 100), "a bigint, b bigint").distinct())
     heads = clusters.select(F.col("component").alias("node"), F.col("component").alias("cluster")).distinct()
     clusters = staged(clusters.select("node", F.col("component").alias("cluster")).unionAll(heads), "clusters")
     inside = docs.join(clusters.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     full = inside.mapInArrow(_full_sets(width), "doc_id bigint, hashes binary").withColumnRenamed("doc_id", "node")
-    groups = _dealt(clusters, "cluster", block).join(full, "node").repartition("cluster", "part").sortWithinPartitions("cluster", "part")
+    groups = _dealt(clusters, "cluster", block).join(full, "node").repartition("cluster", "part").sortWithinPartitions("cluster", "part", "node")
     links = groups.select("cluster", "part", "node", "hashes").mapInArrow(_confirm(percent), "a bigint, b bigint")
     roots = components(links)
     ids = classes.join(roots, "node", "left").select("key1", "key2", F.coalesce("component", "node").alias("component_id"))
