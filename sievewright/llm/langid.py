@@ -161,7 +161,11 @@ def train(documents: DataFrame, usable: Column, max_each: int = 750) -> Model |
     at = np.fromiter(counts, int)
     idf[at] = np.log((1 + total) / (1 + np.fromiter(counts.values(), int))) + 0.1
     place = F.row_number().over(Window.partitionBy("lang").orderBy(hashed_order(F.col("_id")), "_id"))
-    ids = rows.select(F.col("doc_id").alias("_id"), "lang").withColumn("_place", place).where(F.col("_place") <= max_each).select("_id")
+    # The hash is uniform, so of n rows about four times as many as wanted lie below this bound; only these are ranked.
+    bound = -(2.0**63) + 2.0**64 * F.least(F.lit(1.0), 4.0 * max_each / F.col("_n"))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("_n"))
+    few = rows.select(F.col("doc_id").alias("_id"), "lang").join(sizes, "lang").where(hashed_order(F.col("_id")).cast("double") <= bound)
+    ids = few.withColumn("_place", place).where(F.col("_place") <= max_each).select("_id")
     sample = rows.join(F.broadcast(ids), F.col("doc_id") == F.col("_id"), "left_semi").mapInArrow(_sparse, "doc_id bigint, lang string, ids binary, tf binary")
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
