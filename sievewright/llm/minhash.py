@@ -139,28 +139,39 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
 def _collide(threshold: int, limit: float):
     """A spanning forest of the candidate pairs of every list, from its smallest nodes on, so that lists of the same nodes give the same pairs."""
 
-    def forest(sig: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, int]]:
-        left = np.arange(1, len(size))
-        frontier, root = [0], 0
-        while True:
-            if not frontier:
-                if len(left) < 2:
-                    return
-                root, left = int(left[0]), left[1:]
-                frontier = [root]
-            x = frontier.pop()
-            near = (sig[left] == sig[x]).sum(1) >= threshold
-            near &= np.minimum(size[left], size[x]) >= limit * np.maximum(size[left], size[x])
-            for y in left[near].tolist():
-                yield x, y
-                frontier.append(y)
-            left = left[~near]
-            if not len(left):
-                return
+    def forest(sig: np.ndarray, size: np.ndarray, of: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Of a pair of blocks (``of``), only what links them: each block's own forest comes from the part that holds it alone."""
+        both = of.min() != of.max()
+        left, root = np.arange(len(size)), np.arange(len(size))
+        while len(left):
+            x, left = int(left[0]), left[1:]
+            frontier = [x]
+            while frontier and len(left):
+                x = frontier.pop()
+                same = of[left] == of[x]
+                near = (sig[left] == sig[x]).sum(1) >= threshold
+                near &= (np.minimum(size[left], size[x]) >= limit * np.maximum(size[left], size[x])) & same
+                for y in left[near].tolist():
+                    root[y] = root[x]
+                    if not both:
+                        yield x, y
+                    frontier.append(y)
+                left = left[~near]
+        if not both:
+            return
+        others = np.flatnonzero(of == of.max())
+        for x in np.flatnonzero(of == of.min()).tolist():
+            apart = others[root[others] != root[x]]
+            near = (sig[apart] == sig[x]).sum(1) >= threshold
+            near &= np.minimum(size[apart], size[x]) >= limit * np.maximum(size[apart], size[x])
+            for y in apart[near].tolist():
+                if root[y] != root[x]:
+                    yield x, y
+                    root[root == root[y]] = root[x]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in whole_groups(batches, ["token", "part"]):
-            token, part, node, size = (batch.column(c).to_numpy() for c in ("token", "part", "node", "n_shingles"))
+            token, part, node, size, of = (batch.column(c).to_numpy() for c in ("token", "part", "node", "n_shingles", "mine"))
             sig = batch.column("signature").flatten().to_numpy().reshape(-1, COORDINATES)
             at = np.flatnonzero(np.append(True, (token[1:] != token[:-1]) | (part[1:] != part[:-1])))
             end = np.append(at[1:], len(token))
@@ -169,7 +180,7 @@ def _collide(threshold: int, limit: float):
             near &= np.minimum(size[two], size[two + 1]) >= limit * np.maximum(size[two], size[two + 1])
             out_a, out_b = [node[two[near]]], [node[two[near] + 1]]
             for s, e in zip(at[end - at > 2], end[end - at > 2]):
-                got = list(forest(sig[s:e], size[s:e]))
+                got = list(forest(sig[s:e], size[s:e], of[s:e]))
                 if got:
                     i, j = np.array(got).T
                     out_a.append(node[s:e][i])
@@ -242,7 +253,7 @@ def _dealt(members: DataFrame, group: str, block: int) -> DataFrame:
         lambda other: F.least(F.col("mine"), other).cast("long") * F.col("blocks") + F.greatest(F.col("mine"), other),
     )
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    return members.join(sizes, group).withColumn("mine", mine).select(group, "node", F.explode(parts).alias("part"))
+    return members.join(sizes, group).withColumn("mine", mine).select(group, "node", "mine", F.explode(parts).alias("part"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, threshold: int = THRESHOLD, block: int = BLOCK) -> DataFrame:
@@ -269,7 +280,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, threshol
     )
     lists = (
         _dealt(prefixes, "token", block).join(standing.select(F.col("doc_id").alias("node"), "n_shingles", "signature"), "node")
-        .repartition("token", "part").sortWithinPartitions("token", "part", "node").select("token", "part", "node", "n_shingles", "signature")
+        .repartition("token", "part").sortWithinPartitions("token", "part", "node").select("token", "part", "node", "mine", "n_shingles", "signature")
     )
     clusters = components(lists.mapInArrow(_collide(threshold, percent / 100), "a bigint, b bigint").distinct())
     heads = clusters.select(F.col("component").alias("node"), F.col("component").alias("cluster")).distinct()
