@@ -4,10 +4,8 @@ The root has Good-Turing estimates: the V known words share 1 - u of the mass by
 counts, and V + 1 words that may still come share u, the part of the tokens whose word
 occurs once, so the root adds up to one over an open vocabulary. A context s (some words
 before a token, within its text) is looked at if it occurs ``least`` times, its suffix, one
-word shorter, is a state, and its last word was counted after what stands before it. A word that occurs ``least`` times
-is counted after a context of one word; after a longer one if it might diverge there, going by how often
-it was counted after the suffix. It keeps the next words w whose counts diverge from what
-the suffix s' predicts,
+word shorter, is a state, and what stands before its last word was looked at. It keeps the
+next words w whose counts diverge from what the suffix s' predicts,
 
     c(s,w) >= least and c(s,w) * log(c(s,w) / (c(s) * P(w|s'))) >= divergence,
 
@@ -16,8 +14,9 @@ does not keep is predicted by its suffix; with R(s) the count of the words it ke
 
     P(w|s) = [w kept] c(s,w) / (c(s) + pull) + (1 - R(s) / (c(s) + pull)) * P(w|s'),
 
-which adds up to one. The tree deepens until no context keeps anything, or to ``depth``
-words; a token is predicted by the longest suffix of what stands before it that is a state.
+which adds up to one. The tree deepens until no context keeps anything; a token is predicted
+by the longest suffix of what stands before it that is a state. A word is counted after a
+context if it occurs ``least`` times after the suffix, as it cannot be kept or lead on otherwise.
 
 No part of the tree is broadcast or collected. Texts are coded into blocks of tokens; each
 level is one exchange between blocks and buckets of contexts. Words and contexts have
@@ -29,7 +28,6 @@ exchange of the blocks; each deeper level is a job over the few tokens that reac
 
 from __future__ import annotations
 
-import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
@@ -45,8 +43,8 @@ from sievewright.llm import chunked
 from sievewright.llm import textbytes as tb
 from sievewright.llm.staging import staged
 
-DIVERGENCE, LEAST, PULL = 12.0, 2, 1.0
-BLOCK, SHARD, UNROLLED, DEPTH = 3 << 19, 4096, 3, 8
+DIVERGENCE, LEAST, PULL = 10.0, 2, 1.0
+BLOCK, SHARD, UNROLLED = 3 << 19, 4096, 3
 WORDS = 0  # the kind of the root's answers; the others are levels
 END = np.uint64(0x5851F42D4C957F2D)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -79,19 +77,6 @@ class Corpus:
     def learned(self, ids: list) -> np.ndarray:
         return np.array([h is False for h in self.held_out(ids)], bool)
 
-    def hopeful(self, n: np.ndarray, m: np.ndarray, p: np.ndarray) -> np.ndarray:
-        """Whether a word that occurs m times after the suffix, and p of the time, may diverge after a context of count n.
-
-        With no more than min(n, m) occurrences, it diverges at most as min(n, m) >= n * p * exp(divergence / min(n, m)) says; above 1,024
-        the exponential's first two terms stand for it. Blocks must agree, so the vectors only add, multiply, divide and compare.
-        """
-        most = np.minimum(n, m)
-        table = np.array([1e300] + [math.exp(min(600.0, self.divergence / k)) for k in range(1, 1025)])
-        factor = table[np.minimum(most, 1024)]
-        large = np.flatnonzero(most > 1024)
-        factor[large] = 1 + self.divergence / most[large]
-        return (most >= self.least) & (most >= n * p * factor)
-
 
 def joined(*parts: bytes) -> bytes:
     return b"".join(len(p).to_bytes(4, "little") + p for p in parts)
@@ -233,7 +218,7 @@ class Level:
     n: np.ndarray  # the contexts' counts
     word: np.ndarray
     words: np.ndarray  # the words' numbers
-    able: np.ndarray  # whether the word may diverge after the context
+    able: np.ndarray  # whether context and word may be together ``least`` times
     p: np.ndarray  # of the token by the context's suffix
     training: np.ndarray
 
@@ -338,8 +323,7 @@ class Asked:
         again, state = (totals >= least)[self.pair], (r > 0)[self.context]
         go = np.flatnonzero((level.pos[1:] == level.pos[:-1] + 1) & again[:-1] & state[1:]) + 1
         before = self.pair[go - 1]
-        able = self.corpus.hopeful(totals[before], totals[self.pair[go]], level.p[go])
-        return Level(level.pos[go], before, numbers, totals, level.word[go], level.words, able, level.p[go], level.training[go])
+        return Level(level.pos[go], before, numbers, totals, level.word[go], level.words, again[go], level.p[go], level.training[go])
 
 
 def _columns(table: pa.Table):
@@ -456,7 +440,7 @@ def _closed(batch: pa.RecordBatch) -> pa.Table:
     return pa.table({c: pa.array([list(r[c]) for r in rows], pa.list_(k)) for c, k in kinds.items()})
 
 
-def score(docs: DataFrame, mod: int = 7, held: int = 2, divergence: float = DIVERGENCE, least: int = LEAST, pull: float = PULL, depth: int = DEPTH, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
+def score(docs: DataFrame, mod: int = 7, held: int = 2, divergence: float = DIVERGENCE, least: int = LEAST, pull: float = PULL, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
     """Learn from the rows of ``docs`` (doc_id, text) whose crc32(doc_id) mod ``mod`` is not ``held``, and score every row.
 
     base_score is the add-one unigram score; score the tree's log10 probability. Null
@@ -528,9 +512,7 @@ def score(docs: DataFrame, mod: int = 7, held: int = 2, divergence: float = DIVE
         row["score"] = _finished(row, level, ~np.isin(level.pos, deeper.pos))
         return _state(row["block"], row, deeper)
 
-    depth_now = UNROLLED
-    while depth_now < depth and state.agg(F.coalesce(F.sum("active"), F.lit(0))).first()[0]:
-        depth_now += 1
+    while state.agg(F.coalesce(F.sum("active"), F.lit(0))).first()[0]:
         sent = state.where("active > 0").mapInArrow(ask, chunked.SENT).groupBy("bucket").applyInArrow(_grow(corpus), chunked.ANSWER)
         state = staged(state.groupBy("block").cogroup(sent.groupBy("chunk")).applyInArrow(deepened, STATE), "tree")
 
