@@ -9,7 +9,8 @@ next words w whose counts diverge from what the suffix s' predicts,
 
     c(s,w) >= least and c(s,w) * log(c(s,w) / (c(s) * P(w|s'))) >= divergence,
 
-(the expectation's binary logarithm rounded to 1/8) and is a state if it keeps any. What it
+(the expectation's binary logarithm rounded to 1/8 where s occurs less than 16 times, and to
+1/8 divided by c(s)/16 or more beyond, so that rounding moves the left side by 0.7 at most) and is a state if it keeps any. What it
 does not keep is predicted by its suffix; with R(s) the count of the words it keeps,
 
     P(w|s) = [w kept] c(s,w) / (c(s) + pull) + (1 - R(s) / (c(s) + pull)) * P(w|s'),
@@ -48,7 +49,7 @@ BLOCK, SHARD, UNROLLED = 3 << 19, 4096, 3
 WORDS = 0  # the kind of the root's answers; the others are levels
 END = np.uint64(0x5851F42D4C957F2D)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-STEPS, ZERO = 8, 1 << 13  # of the expectation's logarithm, and what stands for 0
+STEPS, ZERO = 8, 1 << 13  # of the expectation's logarithm, and what stands for 0; both times a scale that grows with the context
 TOKENS = "block bigint, ids array<bigint>, sizes array<bigint>, words binary, classes binary, tokens binary"
 DOCS = ["ids", "n_tokens", "n_known", "base", "score"]
 STATE = "block bigint, ids array<bigint>, n_tokens array<bigint>, n_known array<bigint>, base array<double>, score array<double>, active bigint, arrays binary"
@@ -240,6 +241,11 @@ class Level:
         return cls(*[np.zeros(0, np.int64)] * 9)
 
 
+def finer(n: np.ndarray) -> np.ndarray:
+    """Bits by which the steps of a context of count n are finer."""
+    return np.maximum(np.frexp(n.astype(float))[1].astype(np.int64) - 4, 0)
+
+
 class Asked:
     """The distinct contexts of a level and their next words, in the order in which they are sent."""
 
@@ -281,7 +287,9 @@ class Asked:
     def send(self, block: int, kind: int) -> pa.Table:
         e, p, level = self.entry_order, self.pair_order, self.level
         counts = np.bincount(self.pair[level.able & level.training], minlength=len(p))
-        expected = np.rint(STEPS * np.log2(np.maximum(self.n[self.mine] * level.p[self.at], 1e-300))).astype(np.int64) + ZERO
+        fine = finer(self.n)
+        scale = 1 << fine[self.mine]
+        expected = np.rint(STEPS * scale * np.log2(np.maximum(self.n[self.mine] * level.p[self.at], 1e-300))).astype(np.int64) + ZERO * scale
         bucket, number, shard = self.bucket[e], self.numbers[self.owner[e]], self.shard[e]
         many = np.bincount(self.entry, minlength=len(e))
         word, counts, expected = self.word[p], counts[p], expected[p]
@@ -299,7 +307,7 @@ class Asked:
         rows = []
         for s, t in zip(starts, np.append(starts[1:], len(e))):
             a, b = upto[s], upto[t]
-            contexts = joined(chunked.pack(number[s:t].astype(np.uint64)), chunked.planes(shard[s:t]), chunked.planes(many[s:t]))
+            contexts = joined(chunked.pack(number[s:t].astype(np.uint64)), chunked.planes(shard[s:t]), chunked.planes(many[s:t]), chunked.planes(fine[self.owner[e[s:t]]]))
             d, f = drops[a:b], is_first[a:b]
             rows.append((int(bucket[s]), block, kind, contexts, joined(*[chunked.planes(x) for x in (steps[a:b], counts[a:b], d[f], d[~f])])))
         return chunked.sent(rows)
@@ -388,7 +396,7 @@ def _grow(corpus: Corpus):
         kind = table.column("kind")[0].as_py()
         contexts, pairs = [parted(k) for k in keys], [parted(x) for x in extra]
         numbers, words = [chunked.unpack(c[0]) for c in contexts], [chunked.unplanes(x[0]) for x in pairs]
-        shard, many = (np.concatenate([chunked.unplanes(c[i]) for c in contexts]) for i in (1, 2))
+        shard, many, fine = (np.concatenate([chunked.unplanes(c[i]) for c in contexts]) for i in (1, 2, 3))
         counts, many = np.concatenate([chunked.unplanes(x[1]) for x in pairs]), many.astype(np.int64)
         firsts, lengths = (np.cumsum(many) - many)[many > 0], many[many > 0]
         number, word = np.concatenate(numbers), summed(np.concatenate(words), firsts, lengths)
@@ -402,7 +410,8 @@ def _grow(corpus: Corpus):
         first = order[new]
         total = np.bincount(place, counts.astype(float), len(first)).astype(np.int64)
         level = np.maximum.reduceat(expected[order], np.flatnonzero(new)) if len(first) else total
-        kept = (total >= corpus.least) & (total * (np.log(np.maximum(total, 1)) - (level - ZERO) / STEPS * np.log(2)) >= corpus.divergence)
+        scale = 1 << fine.astype(np.int64)[owner[first]]
+        kept = (total >= corpus.least) & (total * (np.log(np.maximum(total, 1)) - (level / scale - ZERO) / STEPS * np.log(2)) >= corpus.divergence)
         sums = np.bincount(entry[owner[first]], np.where(kept, total, 0), len(entries)).astype(np.int64)[entry]
         alive = total >= corpus.least
         # A bucket numbers the pairs in the order in which every block sent them.

@@ -112,7 +112,8 @@ class BruteTree:
             for g, n in grams.items():
                 s, w = g[:-1], g[-1]
                 if s in looked and n >= least:
-                    expected = round(8 * math.log2(contexts[s] * self.p(w, s[1:]))) / 8 * math.log(2)
+                    steps = 8 << max(0, contexts[s].bit_length() - 4)
+                    expected = round(steps * math.log2(contexts[s] * self.p(w, s[1:]))) / steps * math.log(2)
                     if n * (math.log(n) - expected) >= divergence:
                         found.setdefault(s, (contexts[s], {}))[1][w] = n
             self.states |= found
@@ -155,6 +156,15 @@ def test_lm_score_equals_a_brute_force_tree(spark, edge_docs, block, shard):
         assert abs(sum(tree.p(w, s) for w in tree.c) + (tree.v + 1) * tree.p("a word that is not there", s) - 1) < 1e-9
 
 
+def test_lm_tree_ends_on_one_repeated_word(spark):
+    """A word that is predicted already diverges nowhere, however often it is repeated."""
+    rows = [(k, "again " * 900) for k in range(6)] + [(10 + k, prose(k, 40)) for k in range(20)]
+    tree = BruteTree([t for _, t in rows], [learned(i) for i, _ in rows])
+    assert max(map(len, tree.states)) <= 4
+    got = sorted((r["doc_id"], round(r["score"], 6)) for r in suffix_tree.score(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted((i, round(tree.score(ws), 6)) for (i, _), ws in zip(rows, tree.tokens))
+
+
 def test_lm_prefers_prose_and_copies_to_gibberish(spark):
     text = lambda k: " ".join(f"{w}{(k * 37 + j * j * 11) % 40}" for j, w in enumerate(prose(k, 150).split(" ")))
     rows = [(k, text(k)) for k in range(200)] + [(next(i for i in range(1100, 1200) if learned(i)), text(3)), (1001, text(9999))]
