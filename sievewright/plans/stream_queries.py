@@ -43,9 +43,9 @@ def s_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.to_table(streams.deduplicated(stream, ["user_id", "event_type"]), "dedup")
 
 
-@query("SELECT event_id, event_type, round_even(value, 4) AS value FROM events WHERE event_type <> 'view'")
+@query("SELECT event_id, event_type, round_even(value, 4) AS value FROM events")
 def s_append_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = events_stream(spark, sf_dir).where("event_type <> 'view'").select("event_id", "event_type", F.bround("value", 4).alias("value"))
+    stream = events_stream(spark, sf_dir).select("event_id", "event_type", F.bround("value", 4).alias("value"))
     return streams.to_table(stream, "append")
 
 
