@@ -25,6 +25,11 @@ numbers that their bucket gives them, so counts are exact (words are told apart
 of hash). A frequent context is dealt into shards of its next words, so that it never
 meets in one task. The first ``UNROLLED`` levels, which most tokens reach, are one job over one
 exchange of the blocks; each deeper level is a job over the few tokens that reach it.
+
+Within that job a rarer context stays in the bucket that counted it as a pair one level before.
+Its number is not sent: a block names it by its place among the pairs that it sent there and
+that lead on, and the bucket, which reads what it was sent on the levels before as well, knows
+which pair that is.
 """
 
 from __future__ import annotations
@@ -45,7 +50,7 @@ from sievewright.llm import textbytes as tb
 from sievewright.llm.staging import staged
 
 DIVERGENCE, LEAST, PULL = 10.0, 2, 1.0
-BLOCK, SHARD, UNROLLED = 3 << 19, 4096, 3
+BLOCK, SHARD, UNROLLED = 3 << 19, 4096, 4
 WORDS = 0  # the kind of the root's answers; the others are levels
 END = np.uint64(0x5851F42D4C957F2D)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -71,6 +76,11 @@ class Corpus:
     v: int = 0
     once: int = 0
 
+    @property
+    def dealt(self) -> int:
+        """The count of contexts from which on they are dealt into shards."""
+        return max(self.shard, self.n // 50_000)
+
     def held_out(self, ids: list) -> list:
         """Null for a row without a doc_id, which is not learned from either."""
         return [None if i is None else zlib.crc32(str(i).encode()) % self.mod == self.held for i in ids]
@@ -215,7 +225,7 @@ class Level:
 
     pos: np.ndarray
     context: np.ndarray
-    contexts: np.ndarray  # the contexts' numbers
+    contexts: np.ndarray  # the contexts' numbers, ~(place * buckets + bucket) for those that stay in their bucket
     n: np.ndarray  # the contexts' counts
     word: np.ndarray
     words: np.ndarray  # the words' numbers
@@ -252,7 +262,8 @@ class Asked:
     def __init__(self, level: Level, corpus: Corpus):
         self.level, self.corpus = level, corpus
         there, self.context = local(level.context, len(level.contexts))
-        by_number = np.argsort(level.contexts[there])
+        number = level.contexts[there]
+        by_number = np.lexsort((np.where(number < 0, ~number, number), number >= 0))
         back = np.empty(len(there), np.int32)
         back[by_number] = np.arange(len(back))
         there, self.context = there[by_number], back[self.context]
@@ -269,12 +280,13 @@ class Asked:
         lost = np.bincount(self.context[level.training & ~level.able], minlength=len(there))
         open_ = self.n - lost >= corpus.least
         open_[self.mine] = True
-        shards = np.where(open_, 1 + self.n // max(corpus.shard, corpus.n // 50_000), 0)
+        shards = np.where(open_, 1 + self.n // corpus.dealt, 0)
         start = np.cumsum(shards) - shards
         self.owner = np.repeat(np.arange(len(shards)), shards)
         self.shard = np.arange(len(self.owner)) - start[self.owner]
         spread = tb.mix(self.numbers[self.owner].astype(np.uint64) * GOLDEN + self.shard.astype(np.uint64)) % np.uint64(corpus.buckets)
-        self.bucket = spread.astype(np.int64)
+        number = self.numbers[self.owner]
+        self.bucket = np.where(number < 0, ~number % corpus.buckets, spread.astype(np.int64))
         self.entry_order = np.argsort(self.bucket.astype(np.uint16) if corpus.buckets < 1 << 16 else self.bucket, kind="stable")
         rank = np.empty(len(self.entry_order), np.int64)
         rank[self.entry_order] = np.arange(len(rank))
@@ -307,19 +319,25 @@ class Asked:
         rows = []
         for s, t in zip(starts, np.append(starts[1:], len(e))):
             a, b = upto[s], upto[t]
-            contexts = joined(chunked.pack(number[s:t].astype(np.uint64)), chunked.planes(shard[s:t]), chunked.planes(many[s:t]), chunked.planes(fine[self.owner[e[s:t]]]))
+            own = number[s:t]
+            stay = own < 0  # these come first
+            places, others = ~own[stay] // self.corpus.buckets, own[~stay]
+            contexts = joined(*[chunked.pack(x.astype(np.uint64)) for x in (places, others)], *[chunked.planes(x) for x in (shard[s:t], many[s:t], fine[self.owner[e[s:t]]])])
             d, f = drops[a:b], is_first[a:b]
             rows.append((int(bucket[s]), block, kind, contexts, joined(*[chunked.planes(x) for x in (steps[a:b], counts[a:b], d[f], d[~f])])))
         return chunked.sent(rows)
 
-    def hear(self, answers: list[tuple[int, bytes]]) -> Level:
-        """Update the level's predictions and give the next one: tokens whose context is a state, and the context that reaches one word further back."""
+    def hear(self, answers: list[tuple[int, bytes]], stay: int = 0) -> Level:
+        """Update the level's predictions and give the next one: tokens whose context is a state, and the context that reaches one word further back.
+
+        Pairs that occur less than ``stay`` times stay in their bucket and have no number.
+        """
         level, least, pull = self.level, self.corpus.least, self.corpus.pull
         if not answers:
             return Level.nothing()
         told = [(bucket, *parted(a)) for bucket, a in answers]
         kept_sum, said = (np.concatenate([chunked.unplanes(t[i]).astype(np.int64) for t in told]) for i in (1, 2))
-        number = np.concatenate([chunked.unpack(t[3]).astype(np.int64) * self.corpus.buckets + t[0] for t in told])
+        number = np.concatenate([numbers_of(chunked.unplanes(t[2]).astype(np.int64), chunked.unpack(t[3]).astype(np.int64), t[0], self.corpus, stay) for t in told])
         r = np.bincount(self.owner[self.entry_order], kept_sum, len(self.numbers))
         says, numbers = np.zeros(len(said) + 1, np.int64), np.zeros(len(said) + 1, np.int64)  # the last place is that of tokens that asked for no pair
         says[self.pair_order] = said
@@ -334,6 +352,14 @@ class Asked:
         return Level(level.pos[go], before, numbers, totals, level.word[go], level.words, again[go], level.p[go], level.training[go])
 
 
+def numbers_of(said: np.ndarray, names: np.ndarray, bucket: int, corpus: Corpus, stay: int) -> np.ndarray:
+    """Numbers of the pairs that lead on, of those that a block sent to a bucket."""
+    totals = said[said > 0] >> 1
+    out = ~(np.arange(len(totals)) * corpus.buckets + bucket)
+    out[totals >= stay] = names * corpus.buckets + bucket
+    return out
+
+
 def _columns(table: pa.Table):
     """What the blocks sent, in order of block: a bucket may be worked out more than once, and must come out alike."""
     table = table.sort_by([("chunk", "ascending")])
@@ -374,13 +400,69 @@ def _sum_words(table: pa.Table) -> pa.Table:
     return pa.table({"n": [int(total.sum())], "v": [int((total > 0).sum())], "once": [int((total == 1).sum())]})
 
 
-def _grow(corpus: Corpus):
-    """Counts of the contexts' next words, the divergence test, the sum that each context keeps, and numbers for the longer contexts."""
+@dataclass
+class Counted:
+    """What the blocks sent to a bucket on one level, and the counts of its pairs over all blocks."""
+
+    blocks: list[int]
+    lengths: list[tuple[int, int]]  # each block's contexts and pairs
+    entry: np.ndarray  # the place of each context (of a block, with its shard) among the distinct ones
+    owner: np.ndarray  # the context of each pair
+    place: np.ndarray  # of each pair among the distinct ones
+    order: np.ndarray  # in which equal pairs stand together
+    new: np.ndarray  # where in that order another pair starts
+    total: np.ndarray  # of each distinct pair
+    name: np.ndarray  # of each distinct pair among those that lead on
+    fine: np.ndarray  # of each context
+    firsts: np.ndarray  # the first pair of each context that has any
+    runs: np.ndarray  # and how many it has
+    pairs: list[list[bytes]]
+
+    def alive(self, least: int) -> dict[int, np.ndarray]:
+        """For each block the names of its pairs that lead on, in the order in which it sent them."""
+        out, p = {}, 0
+        for c, (_, m) in zip(self.blocks, self.lengths):
+            mine = self.place[p : p + m]
+            out[c] = self.name[mine[self.total[mine] >= least]]
+            p += m
+        return out
+
 
-    def summed(steps: np.ndarray, firsts: np.ndarray, runs: np.ndarray) -> np.ndarray:
-        """Running sums of the differences, anew from each of ``firsts``."""
-        upto = np.cumsum(steps)
-        return upto - np.repeat(upto[firsts] - steps[firsts], runs)
+def summed(steps: np.ndarray, firsts: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    """Running sums of the differences, anew from each of ``firsts``."""
+    upto = np.cumsum(steps)
+    return upto - np.repeat(upto[firsts] - steps[firsts], runs)
+
+
+def counted(table: pa.Table, corpus: Corpus, names: dict[int, np.ndarray]) -> Counted:
+    """Counts of the contexts' next words. ``names`` has the names of the pairs that stayed in this bucket, by block."""
+    _, blocks, keys, extra = _columns(table)
+    contexts, pairs = [parted(k) for k in keys], [parted(x) for x in extra]
+    stayed = [names[b][chunked.unpack(c[0]).astype(np.int64)] if c[0] else np.zeros(0, np.int64) for b, c in zip(blocks, contexts)]
+    most = max((int(x[-1]) + 1 for x in stayed if len(x)), default=0)
+    numbers = [np.concatenate((x, chunked.unpack(c[1]).astype(np.int64) + most)) for x, c in zip(stayed, contexts)]
+    words = [chunked.unplanes(x[0]) for x in pairs]
+    shard, many, fine = (np.concatenate([chunked.unplanes(c[i]) for c in contexts]) for i in (2, 3, 4))
+    counts, many = np.concatenate([chunked.unplanes(x[1]) for x in pairs]), many.astype(np.int64)
+    firsts, lengths = (np.cumsum(many) - many)[many > 0], many[many > 0]
+    number, word = np.concatenate(numbers), summed(np.concatenate(words), firsts, lengths)
+    owner = np.repeat(np.arange(len(number)), many)
+    entries, entry = np.unique(paired(number, shard), return_inverse=True)
+    order, sorted_keys = sorted_pairs(entry[owner], word)
+    new = runs(sorted_keys)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(new) - 1
+    total = np.bincount(place, counts.astype(float), int(new.sum())).astype(np.int64)
+    # A bucket numbers the pairs in the order in which every block sent them.
+    name = np.cumsum(total >= corpus.least) - 1
+    return Counted(blocks, [(len(x), len(w)) for x, w in zip(numbers, words)], entry, owner, place, order, new, total, name, fine, firsts, lengths, pairs)
+
+
+def _grow(corpus: Corpus, upto: int | None = None, stay: int = 0):
+    """Counts of the contexts' next words, the divergence test, the sum that each context keeps, and numbers for the longer contexts.
+
+    With ``upto`` the rows are those of all levels up to that one, and its answers are given. Pairs that occur less than ``stay`` times get no number.
+    """
 
     def unfolded(pairs: list[list[bytes]], firsts: np.ndarray, n: int) -> np.ndarray:
         """Differences of the expectations, the first of each context whole."""
@@ -392,34 +474,28 @@ def _grow(corpus: Corpus):
         return out
 
     def run(table: pa.Table) -> pa.Table:
-        bucket, blocks, keys, extra = _columns(table)
-        kind = table.column("kind")[0].as_py()
-        contexts, pairs = [parted(k) for k in keys], [parted(x) for x in extra]
-        numbers, words = [chunked.unpack(c[0]) for c in contexts], [chunked.unplanes(x[0]) for x in pairs]
-        shard, many, fine = (np.concatenate([chunked.unplanes(c[i]) for c in contexts]) for i in (1, 2, 3))
-        counts, many = np.concatenate([chunked.unplanes(x[1]) for x in pairs]), many.astype(np.int64)
-        firsts, lengths = (np.cumsum(many) - many)[many > 0], many[many > 0]
-        number, word = np.concatenate(numbers), summed(np.concatenate(words), firsts, lengths)
-        expected = summed(unfolded(pairs, firsts, len(word)), firsts, lengths)
-        owner = np.repeat(np.arange(len(number)), many)
-        entries, entry = np.unique(paired(number, shard), return_inverse=True)
-        order, sorted_keys = sorted_pairs(entry[owner], word)
-        new = runs(sorted_keys)
-        place = np.empty(len(order), np.int64)
-        place[order] = np.cumsum(new) - 1
-        first = order[new]
-        total = np.bincount(place, counts.astype(float), len(first)).astype(np.int64)
-        level = np.maximum.reduceat(expected[order], np.flatnonzero(new)) if len(first) else total
-        scale = 1 << fine.astype(np.int64)[owner[first]]
+        bucket, names = table.column("bucket")[0].as_py(), {}
+        kind = upto or table.column("kind")[0].as_py()
+        for k in range(1 if upto else kind, kind):
+            rows = table.filter(pa.compute.equal(table.column("kind"), k))
+            names = counted(rows, corpus, names).alive(corpus.least) if rows.num_rows else {}
+        table = table.filter(pa.compute.equal(table.column("kind"), kind))
+        if not table.num_rows:
+            return chunked.answers([])
+        of = counted(table, corpus, names)
+        total, place, entry = of.total, of.place, of.entry
+        expected = summed(unfolded(of.pairs, of.firsts, len(place)), of.firsts, of.runs)
+        first = of.order[of.new]
+        level = np.maximum.reduceat(expected[of.order], np.flatnonzero(of.new)) if len(first) else total
+        scale = 1 << of.fine.astype(np.int64)[of.owner[first]]
         kept = (total >= corpus.least) & (total * (np.log(np.maximum(total, 1)) - (level / scale - ZERO) / STEPS * np.log(2)) >= corpus.divergence)
-        sums = np.bincount(entry[owner[first]], np.where(kept, total, 0), len(entries)).astype(np.int64)[entry]
-        alive = total >= corpus.least
-        # A bucket numbers the pairs in the order in which every block sent them.
-        say, name = np.where(alive, 2 * total + kept, 0)[place], (np.cumsum(alive) - 1)[place]
+        sums = np.bincount(entry[of.owner[first]], np.where(kept, total, 0), int(entry.max(initial=-1)) + 1).astype(np.int64)[entry]
+        say, name = np.where(total >= corpus.least, 2 * total + kept, 0)[place], of.name[place]
+        told = (say > 0) & (say >> 1 >= stay)
         rows, e, p = [], 0, 0
-        for c, mine, own in zip(blocks, numbers, words):
-            n, m = e + len(mine), p + len(own)
-            rows.append((c, bucket, kind, joined(chunked.planes(sums[e:n]), chunked.planes(say[p:m]), chunked.pack(name[p:m][say[p:m] > 0].astype(np.uint64)))))
+        for c, (n, m) in zip(of.blocks, of.lengths):
+            n, m = e + n, p + m
+            rows.append((c, bucket, kind, joined(chunked.planes(sums[e:n]), chunked.planes(say[p:m]), chunked.pack(name[p:m][told[p:m]].astype(np.uint64)))))
             e, p = n, m
         return chunked.answers(rows)
 
@@ -479,7 +555,7 @@ def score(docs: DataFrame, mod: int = 7, held: int = 2, divergence: float = DIVE
         tokens = Block(table.to_pylist()[0], corpus)
         level = tokens.hear_words(heard, corpus)
         for k in range(1, upto):
-            deeper = Asked(level, corpus).hear(chunked.gathered(heard, k))
+            deeper = Asked(level, corpus).hear(chunked.gathered(heard, k), stay(k))
             tokens.p[level.pos] = level.p
             level = deeper
         return tokens, level
@@ -496,10 +572,15 @@ def score(docs: DataFrame, mod: int = 7, held: int = 2, divergence: float = DIVE
         """Answers dealt by block: the cogroups that read them find them there, and none is sent twice."""
         return sent.groupBy("bucket").applyInArrow(answer, chunked.ANSWER).repartition(tasks, "chunk")
 
-    heard = told(by_block.applyInArrow(words, chunked.SENT), _count_words(corpus))
+    def stay(level: int) -> int:
+        """The jobs that follow see nothing of this one's levels, so all pairs of the last one get numbers."""
+        return corpus.dealt if level < UNROLLED else 0
+
+    heard, sent = told(by_block.applyInArrow(words, chunked.SENT), _count_words(corpus)), None
     for k in range(1, UNROLLED + 1):
-        sent = by_block.cogroup(heard.groupBy("chunk")).applyInArrow(asking(k), chunked.SENT)
-        heard = heard.unionAll(told(sent, _grow(corpus)))
+        asked = by_block.cogroup(heard.groupBy("chunk")).applyInArrow(asking(k), chunked.SENT).repartition(tasks, "bucket")
+        sent = sent.unionAll(asked) if sent else asked
+        heard = heard.unionAll(told(sent, _grow(corpus, k, stay(k))))
 
     def begun(key, table, heard):
         if not table.num_rows:

@@ -249,6 +249,39 @@ def test_buckets_do_not_depend_on_the_order_of_their_rows():
         assert said[0] == said[1] == said[2]
 
 
+def test_contexts_that_stay_in_their_bucket_have_no_numbers():
+    """Rarer contexts are named by their places, frequent ones by numbers, and both ways give the same tree."""
+    rng, buckets, n = np.random.default_rng(3), 4, 900
+    corpus = suffix_tree.Corpus(7, 2, buckets, divergence=1.0, shard=12, n=2 * n)
+    texts = [rng.zipf(1.4, n) % 40 for _ in range(2)]
+    c = np.bincount(np.concatenate(texts), minlength=40)
+    schema, sizes, scores, after = suffix_tree.chunked.sent([]).schema, [], [], []
+    for stays in (False, True):
+        at, rows, size, deeper = [], [], 0, []
+        for t in texts:
+            pos = np.arange(1, n)
+            at.append(suffix_tree.Level(pos, t[pos - 1], np.arange(40), c, t[pos], np.arange(40), c[t[pos]] > 1, c[t[pos]] / (2 * n), np.ones(n - 1, bool)))
+        for k in (1, 2, 3):
+            stay = corpus.dealt if stays and k < 3 else 0
+            asked = [suffix_tree.Asked(x, corpus) for x in at]
+            new = [r for b, x in enumerate(asked) for r in x.send(b, k).to_pylist()]
+            size += sum(len(r["keys"]) for r in new if k > 1)
+            rows = rows + new if stays else new
+            told = [r for b in range(buckets) if (mine := [r for r in rows if r["bucket"] == b]) for r in suffix_tree._grow(corpus, k if stays else None, stay)(pa.Table.from_pylist(mine, schema)).to_pylist()]
+            answers = suffix_tree.chunked.answers([]).schema
+            size += sum(len(r["answer"]) for r in told if k < 3)
+            old, at = at, [x.hear(suffix_tree.chunked.gathered(pa.Table.from_pylist([r for r in told if r["chunk"] == b], answers), k), stay) for b, x in enumerate(asked)]
+            deeper.append([np.unique(x.contexts < 0) for x in at])
+            scores.append([x.p for x in old])
+            after.append([(x.pos, x.n[x.context]) for x in at])
+        sizes.append(size)
+        assert all(len(x) == 2 for x in deeper[0]) == stays  # numbers and places side by side
+        assert not any(x.any() for x in deeper[2])
+    assert all(np.array_equal(a, b) for x, y in zip(scores[:3], scores[3:]) for a, b in zip(x, y)) and len(after[1][0][0])
+    assert all(np.array_equal(a, b) for x, y in zip(after[:3], after[3:]) for i, j in zip(x, y) for a, b in zip(i, j))
+    assert sizes[1] < 0.95 * sizes[0]
+
+
 def test_langid_learns_a_rare_language(spark):
     """Twelve rows of a language among a thousand, which a sample over all languages would all but miss."""
     rows = [(k, f"the dog was big number{k % 7} here", "en") for k in range(1000)] + [(2000 + k, f"le chat est grand ici{k % 3} encore", "fr") for k in range(12)]
