@@ -8,8 +8,11 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
+from itertools import repeat
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -73,7 +76,8 @@ def ordered_nodes(text: Column, most_depth: int = 64) -> Column:
     return walk(text)
 
 
-OBJECTS = "array<struct<ord:int,keys:array<string>,values:map<string,string>,text:string>>"
+#: So many keys of a batch have their normalised form kept.
+MOST_NAMES = 4096
 LISTS = "array<struct<ord:int,key:string,n_objects:int,first_keys:array<string>,items:array<string>>>"
 
 
@@ -98,25 +102,40 @@ def _json(value) -> str:
     return json.dumps(value, ensure_ascii=False)
 
 
-def object_nodes(text: Column) -> Column:
-    """The objects of a JSON text in document order: their keys, their scalar values by normalised key (the first that is not empty; @type as it is), their text."""
+def best_object(text: Column, score: Callable[..., int | None], *seeds: Column) -> Column:
+    """(score, text) of the object of a JSON text with the highest score, the first of a tie; null if none has one.
 
-    @F.pandas_udf(OBJECTS)
-    def walk(texts: pd.Series) -> pd.Series:
-        def one(t):
-            out = []
-            for n, node in enumerate(_objects(t)):
+    ``score`` gets an object's normalised keys, its scalar values by normalised key (the first that is not empty; @type as it is)
+    and the row's seeds. One pass decides, so that only the chosen object leaves it.
+    """
+
+    @F.arrow_udf("struct<score:int,text:string>")
+    def walk(texts: pa.Array, *given: pa.Array) -> pa.Array:
+        normal: dict[str, str] = {}
+
+        def one(t, mine):
+            best = None
+            for node in _objects(t):
                 values: dict[str, str] = {}
+                keys = set()
                 for k, v in node.items():
-                    name = k if k == "@type" else re.sub("[^a-z0-9]", "", k.lower())
+                    name = normal.get(k)
+                    if name is None:
+                        name = re.sub("[^a-z0-9]", "", k.lower())
+                        if len(normal) < MOST_NAMES:
+                            normal[k] = name
+                    keys.add(name)
                     if not isinstance(v, (dict, list)) and v not in (None, ""):
-                        values.setdefault(name, str(v))
-                out.append({"ord": n, "keys": list(node), "values": values, "text": _json(node)})
-            return out
+                        values.setdefault(k if k == "@type" else name, str(v))
+                n = score(keys, values, *mine)
+                if n is not None and (best is None or n > best[0]):
+                    best = (n, node)
+            return best and {"score": best[0], "text": _json(best[1])}
 
-        return texts.map(one)
+        rows = zip(texts.to_pylist(), zip(*(g.to_pylist() for g in given)) if given else repeat(()))
+        return pa.array([one(t, mine) for t, mine in rows], pa.struct([("score", pa.int32()), ("text", pa.string())]))
 
-    return walk(text)
+    return walk(text, *seeds)
 
 
 def list_nodes(text: Column) -> Column:

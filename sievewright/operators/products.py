@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -162,22 +164,18 @@ def best_mapping(body: Column, sku: Column, product_id: Column) -> Column:
 
     One for each standard key, 100 each for the seed's sku and product_id, 40 for a type of Product.
     """
-    mine, own = text.compact_code(F.coalesce(sku, F.lit(""))), text.compact_code(F.coalesce(product_id, F.lit("")))
-    said = lambda n, names: text.compact_code(F.coalesce(*[F.try_element_at(n["values"], F.lit(k)) for k in names], F.lit("")))
-
-    def judged(n: Column) -> Column:
-        keys = F.array_distinct(F.transform(n["keys"], text.key_text))
-        same_sku = (mine != "") & (said(n, ["sku", "productcode", "stockcode", "catalognumber"]) == mine)
-        same_id = (own != "") & (said(n, ["productid", "id", "itemid", "goodsid"]) == own)
-        product = F.lower(F.coalesce(F.try_element_at(n["values"], F.lit("@type")), F.lit(""))) == "product"
-        known = F.size(F.array_intersect(keys, F.array(*[F.lit(k) for k in STANDARD_KEYS])))
-        score = known + 100 * same_sku.cast("int") + 100 * same_id.cast("int") + 40 * product.cast("int")
-        fits = (score >= 2) | same_sku | same_id | product | F.arrays_overlap(keys, F.array(*[F.lit(k) for k in ANCHOR_KEYS]))
-        return F.struct(F.when(fits, score).alias("score"), (-n["ord"]).alias("place"), n["text"].alias("text"))
-
-    good = F.filter(F.transform(records.object_nodes(body), judged), lambda s: s["score"].isNotNull())
-    best = F.array_max(good)
-    return F.when(F.size(good) > 0, F.struct(best["score"].alias("score"), best["text"].alias("text")))
+    said = lambda values, names: re.sub("[^A-Z0-9]", "", next((values[k] for k in names if k in values), "").upper())
+
+    def judged(keys: set, values: dict, mine: str, own: str) -> int | None:
+        same_sku = mine != "" and said(values, ["sku", "productcode", "stockcode", "catalognumber"]) == mine
+        same_id = own != "" and said(values, ["productid", "id", "itemid", "goodsid"]) == own
+        product = values.get("@type", "").lower() == "product"
+        score = len(keys & standard) + 100 * same_sku + 100 * same_id + 40 * product
+        return score if score >= 2 or same_sku or same_id or product or keys & anchors else None
+
+    standard, anchors = frozenset(STANDARD_KEYS), frozenset(ANCHOR_KEYS)
+    seeds = [text.compact_code(F.coalesce(c, F.lit(""))) for c in (sku, product_id)]
+    return records.best_object(body, judged, *seeds)
 
 
 #: Columns of a record of which the detail's value wins if it has one.
