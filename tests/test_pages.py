@@ -1,7 +1,12 @@
 """Fixture tests of the page queries."""
 
+import pyarrow as pa
 from oracle import same
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
+from sievewright.functions import html
 from sievewright.plans import catalog_queries
 
 TITLES = {
@@ -32,3 +37,15 @@ def test_title_falls_back(spark, tmp_path):
 def test_title_decodes_what_has_no_semicolon(spark, tmp_path):
     d = pages(spark, tmp_path, [(1, "https://a.b/", "<title>a &amp;&amp</title>")])
     assert catalog_queries.q_page_title(spark, d).first()["title"] == "a &&"
+
+
+def test_scans_leave_in_slices(spark):
+    n = 2 * html.SLICE + 3
+    texts = [None if k % 7 == 0 else f'<title>{k}</title><a href="/{k}">x</a>' for k in range(n)]
+    out = list(html._scan_slices(iter([pa.array(texts), pa.array([], pa.string())]), to_arrow_type(DataType.fromDDL(html.SCAN))))
+    assert [len(x) for x in out] == [html.SLICE, html.SLICE, 3]
+    want = [None if k % 7 == 0 else str(k) for k in range(n)]
+    assert [x["title"] for a in out for x in a.to_pylist()] == want
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, html string").coalesce(1)
+    got = html.scanned(df, "html").select("k", "scan.title", F.size("scan.anchors").alias("n")).collect()
+    assert sorted(tuple(r) for r in got) == [(k, t, int(t is not None)) for k, t in enumerate(want)]
