@@ -49,3 +49,11 @@ def test_scans_leave_in_slices(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "k int, html string").coalesce(1)
     got = html.scanned(df, "html").select("k", "scan.title", F.size("scan.anchors").alias("n")).collect()
     assert sorted(tuple(r) for r in got) == [(k, t, int(t is not None)) for k, t in enumerate(want)]
+
+
+def test_a_page_is_scanned_once(spark, tmp_path):
+    nav = '<nav><a href="/category/x">X</a><a href="/">Home</a></nav>'
+    d = pages(spark, tmp_path, [(k, "https://a.b/p", nav if k % 3 else None) for k in range(html.SLICE + 5)])
+    found = catalog_queries.q_nav_categories(spark, d)
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [scan(") == 1
+    assert sorted((r["page_id"], r["target"]) for r in found.collect()) == [(k, "https://a.b/category/x") for k in range(html.SLICE + 5) if k % 3]
